@@ -111,3 +111,32 @@ def one_hash(word: bytes) -> int:
     """The hash of a single word, as in hashes()."""
     h, _ = hashes(pa.array([word.decode("utf-8", "replace")]), np.ones(256, dtype=bool))
     return int(h[0])
+
+
+class Lookup:
+    """Where a 64-bit hash stands in an array of distinct ones (-1: nowhere), by a slot table and a search for the rest."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = np.uint64(max(10, int(len(keys) * 4).bit_length()))
+        self.slot = np.full(1 << int(self.bits), -1, dtype=np.int32)
+        at = (keys >> (np.uint64(64) - self.bits)).astype(np.int64)
+        self.slot[at] = np.arange(len(keys), dtype=np.int32)
+        lost = np.flatnonzero(self.slot[at] != np.arange(len(keys)))
+        self.more = lost[np.argsort(keys[lost], kind="stable")].astype(np.int32)
+        self.more_keys = keys[self.more]
+        self.crowded = np.zeros(1 << int(self.bits), dtype=bool)
+        self.crowded[at[lost]] = True
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(h), -1, dtype=np.int32)
+        at = (h >> (np.uint64(64) - self.bits)).astype(np.int64)
+        found = self.slot[at]
+        wrong = self.keys[found] != h
+        found[wrong] = -1
+        if len(self.more):
+            again = np.flatnonzero(wrong & self.crowded[at])
+            place = np.minimum(np.searchsorted(self.more_keys, h[again]), len(self.more) - 1)
+            found[again] = np.where(self.more_keys[place] == h[again], self.more[place], -1)
+        return found

@@ -25,7 +25,7 @@ from .gru import Adam, backward, forward, init, sigmoid
 from .words import _VALUE, ALNUM, Lookup, buffers, mix, pieces, spans
 
 WINDOW, OVERLAP, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS = 32, 8, 8, 8, 8, 2048
-VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH = 20_000, 600, 1200, 8, 256
+VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH = 20_000, 1200, 2400, 10, 256
 
 
 def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -85,16 +85,15 @@ class Network:
         for d in "fb":
             self.p |= {f"x{d}": init(rng, size, 3 * HIDDEN), f"b{d}": np.zeros(3 * HIDDEN, dtype=np.float32), f"u{d}": init(rng, HIDDEN, 3 * HIDDEN)}
 
-    def inputs(self, key: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Input vectors of the distinct words, a zero one last, and the words' numbers in the vocabulary."""
-        place = self.lookup(key)
-        x = np.zeros((len(key) + 1, WORD_DIM + CHAR_DIM), dtype=np.float32)
+    def inputs(self, place: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Input vectors of distinct words, given as numbers in the vocabulary and trigrams; a zero one last."""
+        x = np.zeros((len(place) + 1, WORD_DIM + CHAR_DIM), dtype=np.float32)
         x[:-1, :WORD_DIM] = self.p["word"][place]
-        for lo in range(0, len(key), 20_000):
-            hi = min(len(key), lo + 20_000)
+        for lo in range(0, len(place), 20_000):
+            hi = min(len(place), lo + 20_000)
             part = self.p["char"][grams[starts[lo] : starts[hi]]]
             x[lo:hi, WORD_DIM:] = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0) / np.diff(starts[lo : hi + 1])[:, None]
-        return x, place
+        return x
 
     def logits(self, x: np.ndarray, ids: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows: ids and mask (WINDOW, B)."""
@@ -116,7 +115,14 @@ class Network:
         z = pooled @ p["o"][:, 0] + p["ob"][0]
         return (z, h, t, w, pooled, tapes) if keep else z
 
-    def gradients(self, x, place, grams, starts, ids, mask, y, weight):
+    def gradients(self, place, grams, starts, ids, mask, y, weight):
+        """Of the mean cross-entropy of these windows, whose words are numbers of distinct ones (len(place): none)."""
+        used, ids = np.unique(ids, return_inverse=True)
+        ids = ids.reshape(mask.shape)
+        words = used[used < len(place)]
+        n = np.diff(starts)[words]
+        gram = grams[np.repeat(starts[words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        x = self.inputs(place[words], gram, np.concatenate(([0], np.cumsum(n))))
         p = self.p
         z, h, t, w, pooled, tapes = self.logits(x, ids, mask, keep=True)
         dz = ((sigmoid(z) - y) * weight / len(y)).astype(np.float32)
@@ -138,19 +144,15 @@ class Network:
             g[f"x{d}"] = x[to].T @ flat
             np.add.at(dx, to, flat @ p[f"x{d}"].T)
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        used = np.unique(ids)
-        used = used[used < len(place)]
-        np.add.at(g["word"], place[used], dx[used, :WORD_DIM])
-        n = np.diff(starts)[used]
-        gram = grams[np.repeat(starts[used], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        np.add.at(g["char"], gram, np.repeat(dx[used, WORD_DIM:] / n[:, None], n, axis=0))
+        np.add.at(g["word"], place[words], dx[: len(words), :WORD_DIM])
+        np.add.at(g["char"], gram, np.repeat(dx[: len(words), WORD_DIM:] / n[:, None], n, axis=0))
         g["word"][-1] = 0
         return {k: g[k] for k in p}
 
     def best(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The greatest logit of each text's windows, and how many windows it has."""
         key, grams, starts, number, at = read_words(texts)
-        x, _ = self.inputs(key, grams, starts)
+        x = self.inputs(self.lookup(key), grams, starts)
         tables = {d: x @ self.p[f"x{d}"] + self.p[f"b{d}"] for d in "fb"}
         text, first, length = windows(at)
         out = np.full(len(at) - 1, -np.inf)
@@ -175,33 +177,32 @@ def train(texts: pa.Array, y: np.ndarray) -> Network:
     pairs = np.unique(own.astype(np.int64) * max(1, len(key)) + number)
     seen = [np.bincount((pairs % max(1, len(key)))[y[pairs // max(1, len(key))] == k], minlength=len(key)) for k in (0, 1)]
     n = [(y == 0).sum(), (y == 1).sum()]
-    lean = np.log((seen[1] + 0.3) / (n[1] + 1)) - np.log((seen[0] + 0.3) / (n[0] + 1))
-    known = np.flatnonzero(seen[0] + seen[1] > 1)
+    lean = np.log((seen[1] + 0.5) / (n[1] + 1)) - np.log((seen[0] + 0.5) / (n[0] + 1))
+    known = np.flatnonzero(seen[0] + seen[1] > 4)
     known = known[np.argsort(-np.abs(lean[known]) * np.sqrt((seen[0] + seen[1])[known]), kind="stable")][:VOCABULARY]
-    net = Network(key[known], np.clip(lean[known] * np.minimum(1, (seen[0] + seen[1])[known] / 4) / 2, -2, 2).astype(np.float32))
+    net = Network(key[known], np.clip(lean[known] * np.minimum(1, (seen[0] + seen[1])[known] / 20) / 2, -2, 2).astype(np.float32))
     if not n[0] or not n[1]:
         net.share = float(n[1] / len(y)) if len(y) else 0.0
         return net
     text, first, length = windows(at)
+    place = net.lookup(key)
     adam, rng = Adam(net.p, 0.01), np.random.default_rng(11)
     hint = np.zeros(len(key) + 1)
-    hint[:-1] = np.where(seen[0] + seen[1] > 1, lean, 0)
+    hint[known] = lean[known]
     sums = np.concatenate(([0.0], np.cumsum(np.maximum(0, hint[number] - 1))))
     value = sums[first + length] - sums[first]
     for epoch in range(EPOCHS):
         adam.rate = 0.01 * (1 - epoch / (EPOCHS + 1))
         order = np.lexsort((-value, text))
-        top = order[np.concatenate(([True], text[order][1:] != text[order][:-1]))]
+        rank = np.arange(len(text)) - np.searchsorted(text, text)  # windows stand in the order of texts
         clean = np.flatnonzero(y[text] == 0)
-        some = np.concatenate((top, rng.permutation(clean)[: 4 * len(y)]))
-        some = rng.permutation(some)
+        some = rng.permutation(np.concatenate((order[rank < 1 + (y[text] == 0)], rng.permutation(clean)[: 3 * len(y)])))
         for lo in range(0, len(some), BATCH):
             own = some[lo : lo + BATCH]
             ids, mask = net.slots(number, first[own], length[own], len(key))
-            x, place = net.inputs(key, grams, starts) if lo % (8 * BATCH) == 0 else (x, place)
             goal = y[text[own]].astype(np.float32)
-            adam.step(net.gradients(x, place, grams, starts, ids, mask, goal, np.where(goal > 0, 2.0, 1.0)))
-        x, _ = net.inputs(key, grams, starts)
+            adam.step(net.gradients(place, grams, starts, ids, mask, goal, np.where(goal > 0, 2.0, 1.0)))
+        x = net.inputs(place, grams, starts)
         tables = {d: x @ net.p[f"x{d}"] + net.p[f"b{d}"] for d in "fb"}
         value = np.concatenate([net.logits(tables, *net.slots(number, first[lo : lo + 4096], length[lo : lo + 4096], len(key))) for lo in range(0, len(text), 4096)])
     return net

@@ -120,11 +120,11 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return labels
 
 
-def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2) -> DataFrame:
+def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true") -> DataFrame:
     """Components of the verified links among nodes that share a bucket: (node, comp), linked nodes only.
 
-    ``buckets``: (bucket, node), of nodes that are all different. ``verify``: takes (a, b), returns the
-    linked ones of them. A bucket of two gives its pair. Larger ones are first tried against ``pivots``
+    ``buckets``: (bucket, node, size), of nodes that are all different; no link joins nodes whose sizes fail
+    ``near``, SQL over sa and sb. ``verify``: takes (a, b), returns the linked ones of them. A bucket of two gives its pair. Larger ones are first tried against ``pivots``
     members, one a round; nodes that these links join need no further comparison. In what is left, every
     pair of a bucket's nodes from different components is verified, so no link that would change a
     component is lost, and a group of n alike nodes costs about n comparisons, not n squared.
@@ -149,10 +149,10 @@ def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2) -> Da
         found = verify(tried.where("a != b").distinct()).select("a", "b")
         edges = cut(edges.union(found), f"{label}-edges{k}")
         comps = components(edges, f"{label}-c{k}")
-    open_ = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    open_ = members.join(comps, "node", "left").select("bucket", "node", F.col("size").alias("sa"), F.coalesce("comp", "node").alias("comp"))
     mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("bucket")
     rest = cut(open_.join(mixed, "bucket"), f"{label}-rest")
-    other = rest.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"))
-    tried = rest.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca")).join(other, "bucket").where("ca != cb and a < b").select("a", "b").distinct()
+    other = rest.select(F.col("bucket").alias("bucket2"), F.col("node").alias("b"), F.col("sa").alias("sb"), F.col("comp").alias("cb"))
+    tried = rest.select("bucket", F.col("node").alias("a"), "sa", F.col("comp").alias("ca")).join(other, (F.col("bucket") == F.col("bucket2")) & F.expr(f"ca != cb and a < b and {near}")).select("a", "b").distinct()
     found = cut(verify(tried).select("a", "b"), f"{label}-last")
     return comps if found.isEmpty() else components(edges.union(found), f"{label}-final")

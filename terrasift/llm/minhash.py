@@ -3,14 +3,14 @@
 A text's set is its distinct word shingles. One sorted pass over the set's 64-bit hashes fills REGISTERS
 buckets: the leading bits name the bucket, and of the least remainder a register keeps the count of leading
 zeros and MANTISSA bits of what follows, 16 bits in all. Empty registers of short texts borrow from full
-ones in a fixed pseudo-random order. Four registers make a band; texts that share a band are candidates.
+ones in a fixed pseudo-random order. BAND registers make a band; texts that share a band are candidates.
 Candidates pass if the Jaccard estimate from equal registers, less the expected accidental matches, is
 near the threshold, and are then verified on the full sets by 100 * intersection >= 80 * union in integers.
 
 Equal sets are collapsed to one class first (per salted group, so a hot class is many tasks' work), and
 linked_groups() compares the members of a shared band to pivots, so that n alike texts cost about n comparisons.
 
-Recall: at similarity 0.8 the chance that no band of 32 agrees is (1 - 0.8**4)**32, about 5e-8.
+Recall: at similarity 0.8 the chance that none of the 42 bands agrees is (1 - 0.8**6)**42, about 3e-6.
 
 Cases: null, empty or blank texts have an empty set, link with nothing and are kept. Texts with fewer words
 than a shingle are one shingle, the whole sequence. Repeated rows (same doc_id) share their class. Other
@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, class_min, cut, linked_groups, small
+from .common import arrow_limits, class_min, cut, cut_mark, cut_release, linked_groups, small
 from .words import hashes, mix
 
-REGISTERS, BAND, MANTISSA = 128, 4, 10
+REGISTERS, BAND, MANTISSA = 256, 6, 10
 EMPTY = 0xFFFF
 _SHIFT = np.uint64(64 - int(math.log2(REGISTERS)))
 _ODD = [np.uint64(x | 1) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3)]
@@ -83,7 +83,7 @@ def registers(s: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, regs): f1 and f2 are sums that identify the set, regs has BAND registers a long."""
+    """(doc_id, n_shingles, f1, f2, regs): f1 and f2 are sums that identify the set, regs has four registers a long."""
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +101,24 @@ def sketch(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "tex
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, regs array<long>")
 
 
+def bands(reps: DataFrame) -> DataFrame:
+    """(bucket, node, size): each band's number and the hash of its registers."""
+    count = REGISTERS // BAND
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regs = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
+            key = np.zeros((len(regs), count), dtype=np.uint64)
+            for j in range(BAND):
+                key = mix(key ^ regs[:, j : count * BAND : BAND].astype(np.uint64) + np.uint64(j << 32))
+            key = mix(key + np.arange(count, dtype=np.uint64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(regs) + 1) * count, type=pa.int32()), pa.array(key.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["node", "size", "keys"])
+
+    keyed = reps.select("doc_id", "n_shingles", "regs").mapInArrow(run, "node long, size long, keys array<long>")
+    return keyed.select(F.explode("keys").alias("bucket"), "node", "size")
+
+
 def _estimate(pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b) whose collision-corrected estimate is within six standard errors of the threshold, or above it."""
     need = percent / 100
@@ -140,14 +158,15 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs."""
+    mark = cut_mark()
     sketches = cut(sketch(docs, k, id_col, text_col), "sketch")
     full = sketches.where("n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2")
-    classes = cut(class_min(full, ["n_shingles", "f1", "f2"], "doc_id", "rep").select("doc_id", "n_shingles", "rep"), "classes")
-    reps = cut(sketches.join(small(classes.where("doc_id = rep").select("doc_id").distinct(), 100_000), "doc_id").dropDuplicates(["doc_id"]), "reps")
-    buckets = reps.select(F.posexplode("regs").alias("band", "value"), F.col("doc_id").alias("node")).select(F.struct("band", "value").alias("bucket"), "node")
+    classed = class_min(full, ["n_shingles", "f1", "f2"], "doc_id", "rep").select("doc_id", "n_shingles", "rep")
+    classes = cut(classed.union(sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long"))), "classes")
+    reps = cut(sketches.join(small(classes.where("doc_id = rep").select("doc_id").distinct(), 100_000), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "regs"), "reps")
+    cut_release(docs.sparkSession, mark, mark + 1)
 
-    light = reps.select("doc_id", "regs", "n_shingles")
-    ra, rb = (light.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}")) for x in "ab")
+    ra, rb = (reps.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}")) for x in "ab")
     words = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -156,11 +175,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         texts = cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
         return _verify(near, texts, k, percent)
 
-    groups = linked_groups(buckets, verify, "near")
+    groups = linked_groups(bands(reps), verify, "near", near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
     out = classes.join(groups.select(F.col("node").alias("rep"), "comp"), "rep", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))
-    bare = sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.union(bare).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

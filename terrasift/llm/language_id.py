@@ -1,6 +1,7 @@
 """Language identification by compression: a zstandard dictionary of raw text for each language.
 
-A text is cut into blocks of BLOCK bytes (whole, never a prefix); every block is compressed with each language's
+A text is lower-cased, runs of other characters than letters become one space, and it is cut into blocks of BLOCK bytes
+(whole, never a prefix); every block is compressed with each language's
 dictionary, and the language whose sum is smallest wins, ties going to the least name by code point. A dictionary
 holds at most DICTIONARY bytes: starts of training texts, one for each of SAMPLES groups of ids, the least by hash.
 The score is a logistic share of the winner against the next, from their difference in bits a byte; where it is
@@ -12,6 +13,7 @@ languages are not learned. Repeated rows give repeated rows; other columns are l
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_limits, crc_mod
 
-BLOCK, DICTIONARY, SAMPLES, START, LEVEL, MARGIN = 1024, 64 << 10, 256, 400, 3, 0.02
+BLOCK, DICTIONARY, SAMPLES, START, LEVEL, MARGIN = 1024, 64 << 10, 256, 400, 9, 0.02
+
+_OTHERS = re.compile(r"[\W\d_]+")
 
 
 def dictionaries(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
@@ -33,7 +37,11 @@ def dictionaries(training: DataFrame, text_col: str = "text", lang_col: str = "l
     found: dict[str, list] = {}
     for r in some.groupBy("lang", "g").agg(F.min_by("t", F.struct("o", "t")).alias("t")).orderBy("lang", "g").toLocalIterator():
         found.setdefault(r.lang, []).append(r.t)
-    return {k: "\n".join(v).encode()[-DICTIONARY:] for k, v in found.items()}
+    return {k: b"".join(map(letters, v))[-DICTIONARY:] for k, v in found.items()}
+
+
+def letters(text: str) -> bytes:
+    return (" " + _OTHERS.sub(" ", text.lower())).encode()
 
 
 def has_letter(text: str) -> bool:
@@ -60,7 +68,7 @@ def predict(docs: DataFrame, raw: dict[str, bytes], id_col: str = "doc_id", text
                     scores.append(0.0)
                     narrow.append(True)
                     continue
-                data = text.encode()
+                data = letters(text)
                 blocks = [data[j : j + BLOCK] for j in range(0, len(data), BLOCK)]
                 cost = np.array([sum(len(c.compress(b)) for b in blocks) for c in coders])
                 best = int(cost.argmin())

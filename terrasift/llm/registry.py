@@ -90,12 +90,12 @@ _OP10 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
   CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, w FROM d),
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, w FROM d),
 tri AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY 1),
 f AS (SELECT m.doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
-  len(lines) AS nl, len(list_filter(lines, x -> contains(x, '|'))) AS bars, len(list_filter(w, x -> lower(x) IN ({_STOPS}))) AS stops FROM m LEFT JOIN cov ON m.doc_id = cov.doc_id)
+  len(lines) AS nl, len(list_filter(lines, lambda x: contains(x, '|'))) AS bars, len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS stops FROM m LEFT JOIN cov ON m.doc_id = cov.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND word_chars / greatest(n_words, 1) BETWEEN 2.0 AND 14.0 AND n_symbols / greatest(n_words, 1) <= 0.15
   AND n_repeat_words / greatest(n_words, 1) <= 0.5 AND n_dup_lines / greatest(nl, 1) <= 0.5 AND stops / greatest(n_words, 1) >= 0.02 AND bars / greatest(nl, 1) <= 0.6 AS kept

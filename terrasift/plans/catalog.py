@@ -1,15 +1,25 @@
-"""Queries over the driver's tables and the DuckDB SQL that must give the same rows."""
+"""All queries and their DuckDB SQL; importing the modules registers them."""
 
 from __future__ import annotations
 
+import importlib
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+from pyspark.sql import DataFrame, SparkSession
+
+from .base import QUERIES, SQL
+
+MODULES = ("predicates",)
+for _name in MODULES:
+    importlib.import_module(f".{_name}", __package__)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["f21_change_status"](spark, sf_dir)
 
 
 def queries():
-    return {}
+    return QUERIES
 
 
 def oracle_sql():
-    return {}
+    return SQL

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .base import QUERIES, SQL
 
-MODULES = ("predicates", "joins", "aggregations", "ranking", "scalars")
+MODULES = ("predicates", "joins", "aggregations", "ranking", "scalars", "models")
 for _name in MODULES:
     importlib.import_module(f".{_name}", __package__)
 

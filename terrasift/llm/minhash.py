@@ -34,7 +34,7 @@ REGISTERS, BAND, MANTISSA = 256, 6, 10
 EMPTY = 0xFFFF
 _SHIFT = np.uint64(64 - int(math.log2(REGISTERS)))
 _ODD = [np.uint64(x | 1) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3)]
-_LENDERS = np.stack([np.random.default_rng(7).permutation(REGISTERS) for _ in range(24)])
+_LENDERS = np.random.default_rng(7).permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (600, 1)), axis=1)
 
 
 def sets(h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

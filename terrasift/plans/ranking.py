@@ -105,10 +105,10 @@ def _(t):
     return round_robin(t.anchors(), "site_type", "id", 33, "rr").select("id", "site_type")
 
 
-@query("w16_rolling", f"SELECT event_id, {tidy_sql('avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)', 3)} AS rolling FROM events")
+@query("w16_rolling", "SELECT event_id, CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) OVER w AS BIGINT) AS cents, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)")
 def _(t):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-49, 0)
-    return t.raw("events").select("event_id", tidy(F.avg("value").over(w), 3).alias("rolling"))
+    return t.raw("events").select("event_id", F.sum(F.floor(F.col("value") * 100 + 0.5).cast("long")).over(w).alias("cents"), F.count(F.lit(1)).over(w).alias("n"))
 
 
 @query("w17_mixed_sort", "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderpriority DESC, o_orderkey LIMIT 50")

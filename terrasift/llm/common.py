@@ -120,7 +120,7 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return labels
 
 
-def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true") -> DataFrame:
+def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true", far=None) -> DataFrame:
     """Components of the verified links among nodes that share a bucket: (node, comp), linked nodes only.
 
     ``buckets``: (bucket, node, size), of nodes that are all different; no link joins nodes whose sizes fail
@@ -128,6 +128,9 @@ def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near:
     members, one a round; nodes that these links join need no further comparison. In what is left, every
     pair of a bucket's nodes from different components is verified, so no link that would change a
     component is lost, and a group of n alike nodes costs about n comparisons, not n squared.
+    ``far``, if given, finds those pairs without listing all: buckets whose least nodes are in one component
+    become one family, compared to its node with most links, p. It takes (p, u, cp, cu), the families' nodes u
+    with components, and returns the (a, b) among the u of one p from different components that may be linked.
     """
     spark = buckets.sparkSession
     sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1 and lo != hi")
@@ -149,6 +152,26 @@ def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near:
         found = verify(tried.where("a != b").distinct()).select("a", "b")
         edges = cut(edges.union(found), f"{label}-edges{k}")
         comps = components(edges, f"{label}-c{k}")
+    if far is not None:
+        of = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
+        ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").count()
+        centre = comps.join(ends, "node").groupBy("comp").agg(F.max_by("node", F.struct("count", -F.col("node"))).alias("centre"))
+        each = members.select("lo", "node").distinct().join(of("lo", "cp"), "lo", "left").join(centre.withColumnRenamed("comp", "cp"), "cp", "left")
+        each = each.withColumn("p", F.coalesce("centre", "lo"))
+        each = cut(each.select("p", F.col("node").alias("u")).union(each.select("p", "lo")).where("p != u").distinct(), f"{label}-families")
+
+        def known(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+            named = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
+            both = pairs.join(named("p", "cp"), "p", "left").join(named("u", "cu"), "u", "left")
+            return both.select("p", "u", F.coalesce("cp", "p").alias("cp"), F.coalesce("cu", "u").alias("cu"))
+
+        tried = known(each, comps).where("cp != cu").select(F.least("p", "u").alias("a"), F.greatest("p", "u").alias("b")).distinct()
+        edges = cut(edges.union(verify(tried).select("a", "b")), f"{label}-centred")
+        comps = components(edges, f"{label}-c")
+        families = cut(known(each, comps), f"{label}-known")
+        mixed = families.groupBy("p").agg(F.bool_or(F.col("cu") != F.col("cp")).alias("m"), F.count(F.lit(1)).alias("n")).where("m and n > 1").select("p")
+        found = cut(verify(far(families.join(mixed, "p"))).select("a", "b"), f"{label}-last")
+        return comps if found.isEmpty() else components(edges.union(found), f"{label}-final")
     open_ = members.join(comps, "node", "left").select("bucket", "node", F.col("size").alias("sa"), F.coalesce("comp", "node").alias("comp"))
     mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("bucket")
     rest = cut(open_.join(mixed, "bucket"), f"{label}-rest")

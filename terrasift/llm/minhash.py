@@ -7,8 +7,9 @@ ones in a fixed pseudo-random order. BAND registers make a band; texts that shar
 Candidates pass if the Jaccard estimate from equal registers, less the expected accidental matches, is
 near the threshold, and are then verified on the full sets by 100 * intersection >= 80 * union in integers.
 
-Equal sets are collapsed to one class first (per salted group, so a hot class is many tasks' work), and
-linked_groups() compares the members of a shared band to pivots, so that n alike texts cost about n comparisons.
+Equal sets are collapsed to one class first (per salted group, so a hot class is many tasks' work). The members of a
+shared band are compared to its least one, so that n alike texts cost about n comparisons; pairs that this leaves
+unlinked are sought by how they differ from it (see _far_pairs), not by listing them.
 
 Recall: at similarity 0.8 the chance that none of the 42 bands agrees is (1 - 0.8**6)**42, about 3e-6.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, class_min, cut, cut_mark, cut_release, linked_groups, small
@@ -156,6 +157,51 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _far_pairs(families: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): the u of one p, from different components, that can be linked, by how they differ from p.
+
+    With A = u - p (a elements), D = p - u (d) and n = |u|: u and v are linked if 2|Au & Av| + 2|Du & Dv| is at least
+    au + du + av + dv - c(nu + nv), c = (1 - t) / (1 + t) for the threshold t. Either they share an element of A: then one of
+    the floor(n(1 - t) / t) + 1 rarest of each (prefix filtering), found by a join on the element. Or 2 min(du, dv) reaches
+    that bound alone: for du <= dv, x(u) + y(v) <= 0 with x = a - d - cn and y = a + d - cn, and running minima over d leave
+    the few u and v that can meet it. Both ways are complete; nodes far from p and from each other are never paired.
+    """
+    c, most = (100 - percent) / (100 + percent), (100 - percent) / percent
+    tp, tu = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "pu")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, atx = sets(*hashes(batch.column(4)), k)
+            y, aty = sets(*hashes(batch.column(5)), k)
+            more = [np.setdiff1d(y[aty[j] : aty[j + 1]], x[atx[j] : atx[j + 1]], assume_unique=True) for j in range(batch.num_rows)]
+            a, n = np.array([len(m) for m in more], dtype=np.int64), np.diff(aty)
+            d = np.diff(atx) - (n - a)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(a))), type=pa.int32()), pa.array(np.concatenate([*more, np.zeros(0, dtype=np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(n), pa.array(a), pa.array(d), lists], names=["p", "u", "cp", "cu", "n", "a", "d", "added"])
+
+    rows = families.join(tp, "p").join(tu, "u").select("p", "u", "cp", "cu", "tp", "tu")
+    rows = cut(rows.mapInArrow(run, "p long, u long, cp long, cu long, n long, a long, d long, added array<long>"), "differences")
+
+    added = rows.select("p", "u", "cp", "cu", "n", "a", F.explode("added").alias("e"))
+    shared = added.groupBy("p", "e").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    own = Window.partitionBy("p", "u")
+    ranked = added.join(shared, ["p", "e"]).withColumn("rank", F.row_number().over(own.orderBy("m", "e")) + F.col("a") - F.count(F.lit(1)).over(own))
+    first = cut(ranked.where(F.col("rank") <= F.floor(F.col("n") * most + 1e-9) + 1).select("p", "e", "u", "cp", "cu"), "rarest")
+    other = first.select("p", "e", F.col("u").alias("v"), F.col("cu").alias("cv"))
+    pairs = first.where("cu != cp").join(other, ["p", "e"]).where("cu != cv").select("u", "v")
+
+    bounds = rows.select("p", "u", "cp", "cu", "d", (F.col("a") - F.col("d") - c * F.col("n")).alias("x"), (F.col("a") + F.col("d") - c * F.col("n")).alias("y"))
+    by_d = bounds.groupBy("p", "d").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    up, down = Window.partitionBy("p").orderBy("d"), Window.partitionBy("p").orderBy(F.desc("d"))
+    by_d = by_d.select("p", "d", F.min("x").over(up).alias("least_x"), F.min("y").over(down).alias("least_y"))
+    bounds = cut(bounds.join(by_d, ["p", "d"]), "bounds")
+    left, right = bounds.select("p", "u", "cu", "cp", "d", "x", "least_y"), bounds.select("p", F.col("u").alias("v"), F.col("cu").alias("cv"), F.col("d").alias("dv"), "y", "least_x")
+    can = "u != v and cu != cv and d <= dv and x + y <= 1e-9"
+    pairs = pairs.union(left.where("cu != cp and x + least_y <= 1e-9").join(right, "p").where(can).select("u", "v"))
+    pairs = pairs.union(left.join(right.where("y + least_x <= 1e-9"), "p").where(can + " and cv != cp").select("u", "v"))
+    return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs."""
     mark = cut_mark()
@@ -175,7 +221,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         texts = cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
         return _verify(near, texts, k, percent)
 
-    groups = linked_groups(bands(reps), verify, "near", near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
+    def far(families: DataFrame) -> DataFrame:
+        ids = small(families.select("p").union(families.select("u")).distinct().withColumnRenamed("p", "doc_id"))
+        return _far_pairs(families, cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts"), k, percent)
+
+    groups = linked_groups(bands(reps), verify, "near", pivots=1, far=far, near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
     out = classes.join(groups.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -216,8 +216,8 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
             sizes = np.concatenate(([0], np.cumsum(np.bincount(d[first], minlength=rows))))
             total = lambda keep: np.bincount(own[keep], minlength=rows).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(key, key + rows)), batch.column(0).cast(pa.int64()), pa.array(np.diff(at)), pa.array(total(known)), pa.array(np.bincount(own, weights=log, minlength=rows)),
-                pa.array(model.score(ids, at) / LOG10), pa.array(total(~(known & ~rare))), pa.array(np.bincount(own[rare], weights=log[rare], minlength=rows)),
+                pa.array(np.arange(key, key + rows)), batch.column(0).cast(pa.int64()), pa.array(np.diff(at)), pa.array(total(known)), pa.array(np.bincount(own, weights=log, minlength=rows).astype(float)),
+                pa.array(model.score(ids, at) / LOG10), pa.array(total(~(known & ~rare))), pa.array(np.bincount(own[rare], weights=log[rare], minlength=rows).astype(float)),
                 pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(t[first].view(np.int64))), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(times)),
             ], names=["key", "doc_id", "n_tokens", "seen", "log_seen", "log_model", "n_rare", "log_rare", "tokens", "times"])
             key += rows

@@ -25,7 +25,7 @@ from .gru import Adam, backward, forward, init, sigmoid
 from .words import _VALUE, ALNUM, Lookup, buffers, mix, pieces, spans
 
 WINDOW, OVERLAP, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS = 32, 8, 8, 8, 8, 2048
-VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH = 20_000, 1200, 2400, 10, 256
+VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, STEPS, BATCH = 20_000, 1200, 2400, 10, 400, 256
 
 
 def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -191,8 +191,9 @@ def train(texts: pa.Array, y: np.ndarray) -> Network:
     hint[known] = lean[known]
     sums = np.concatenate(([0.0], np.cumsum(np.maximum(0, hint[number] - 1))))
     value = sums[first + length] - sums[first]
-    for epoch in range(EPOCHS):
-        adam.rate = 0.01 * (1 - epoch / (EPOCHS + 1))
+    epochs = max(EPOCHS, min(80, STEPS * BATCH // (4 * len(y))))  # a small sample is read more often
+    for epoch in range(epochs):
+        adam.rate = 0.01 * (1 - epoch / (epochs + 1))
         order = np.lexsort((-value, text))
         rank = np.arange(len(text)) - np.searchsorted(text, text)  # windows stand in the order of texts
         clean = np.flatnonzero(y[text] == 0)

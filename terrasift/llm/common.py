@@ -120,7 +120,7 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return labels
 
 
-def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true", far=None) -> DataFrame:
+def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true", far=None, centres=None) -> DataFrame:
     """Components of the verified links among nodes that share a bucket: (node, comp), linked nodes only.
 
     ``buckets``: (bucket, node, size), of nodes that are all different; no link joins nodes whose sizes fail
@@ -129,7 +129,8 @@ def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near:
     pair of a bucket's nodes from different components is verified, so no link that would change a
     component is lost, and a group of n alike nodes costs about n comparisons, not n squared.
     ``far``, if given, finds those pairs without listing all: buckets whose least nodes are in one component
-    become one family, compared to its node with most links, p. It takes (p, u, cp, cu), the families' nodes u
+    become one family, of (p, u), p being its node with most links; ``centres`` gives (p, q), the node q to
+    compare it to in p's place. It takes (p, u, cp, cu), the families' nodes u
     with components, and returns the (a, b) among the u of one p from different components that may be linked.
     """
     spark = buckets.sparkSession
@@ -160,6 +161,10 @@ def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near:
         each = each.withColumn("p", F.coalesce("centre", "lo"))
         each = cut(each.select("p", F.col("node").alias("u")).union(each.select("p", "lo")).where("p != u").distinct(), f"{label}-families")
 
+        q = cut(centres(each), f"{label}-centres")
+        moved = each.join(q, "p")
+        each = cut(moved.select(F.col("q").alias("p"), "u").union(moved.select("q", "p")).where("p != u").distinct(), f"{label}-families")
+
         def known(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             named = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
             both = pairs.join(named("p", "cp"), "p", "left").join(named("u", "cu"), "u", "left")

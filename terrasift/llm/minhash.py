@@ -157,6 +157,48 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+DIFFERENCES = "p long, u long, cp long, cu long, n long, a long, d long, added array<long>, lost array<long>"
+
+
+def _differences(k: int):
+    """A function of batches (p, u, cp, cu, text of p, text of u) to DIFFERENCES."""
+
+    def packed(parts: list[np.ndarray]) -> pa.ListArray:
+        at = np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+        return pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0, dtype=np.uint64)]).view(np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, atx = sets(*hashes(batch.column(4)), k)
+            y, aty = sets(*hashes(batch.column(5)), k)
+            both = [(x[atx[j] : atx[j + 1]], y[aty[j] : aty[j + 1]]) for j in range(batch.num_rows)]
+            more = [np.setdiff1d(v, u, assume_unique=True) for u, v in both]
+            less = [np.setdiff1d(u, v, assume_unique=True) for u, v in both]
+            a, d = (pa.array([len(z) for z in part], type=pa.int64()) for part in (more, less))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(np.diff(aty)), a, d, packed(more), packed(less)], names=["p", "u", "cp", "cu", "n", "a", "d", "added", "lost"])
+
+    return run
+
+
+def _centres(families: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(p, q): for each family (p, u), its member q that is nearest to what most of the members hold.
+
+    Against p, a member adds and loses shingles; those that over half of the members add or lose are what most hold.
+    The nearest member has the least of a + d - 2 * (how many of these it adds or loses); p itself has 0.
+    """
+    tp, tu = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "pu")
+    none = F.lit(None).cast("long")
+    rows = families.join(tp, "p").join(tu, "u").select("p", "u", none.alias("cp"), none.alias("cu"), "tp", "tu")
+    rows = cut(rows.mapInArrow(_differences(k), DIFFERENCES), "centre-differences")
+    size = rows.groupBy("p").agg(F.count(F.lit(1)).alias("members"))
+    sides = rows.select("p", "u", F.explode("added").alias("e")).unionAll(rows.select("p", "u", F.explode("lost").alias("e")))
+    usual = sides.groupBy("p", "e").agg(F.count(F.lit(1)).alias("m")).join(size, "p").where("2 * m > members").select("p", "e")
+    with_usual = sides.join(usual, ["p", "e"]).groupBy("p", "u").agg(F.count(F.lit(1)).alias("s"))
+    score = rows.select("p", "u", "a", "d").join(with_usual, ["p", "u"], "left").select("p", "u", (F.col("a") + F.col("d") - 2 * F.coalesce("s", F.lit(0))).alias("far"))
+    least = score.groupBy("p").agg(F.min(F.struct("far", "u")).alias("b"))
+    return least.select("p", F.when(F.col("b.far") < 0, F.col("b.u")).otherwise(F.col("p")).alias("q"))
+
+
 def _far_pairs(families: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b): the u of one p, from different components, that can be linked, by how they differ from p.
 
@@ -169,26 +211,20 @@ def _far_pairs(families: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     c, most = (100 - percent) / (100 + percent), (100 - percent) / percent
     tp, tu = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "pu")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, atx = sets(*hashes(batch.column(4)), k)
-            y, aty = sets(*hashes(batch.column(5)), k)
-            more = [np.setdiff1d(y[aty[j] : aty[j + 1]], x[atx[j] : atx[j + 1]], assume_unique=True) for j in range(batch.num_rows)]
-            a, n = np.array([len(m) for m in more], dtype=np.int64), np.diff(aty)
-            d = np.diff(atx) - (n - a)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(a))), type=pa.int32()), pa.array(np.concatenate([*more, np.zeros(0, dtype=np.uint64)]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(n), pa.array(a), pa.array(d), lists], names=["p", "u", "cp", "cu", "n", "a", "d", "added"])
-
+    run = _differences(k)
     rows = families.join(tp, "p").join(tu, "u").select("p", "u", "cp", "cu", "tp", "tu")
-    rows = cut(rows.mapInArrow(run, "p long, u long, cp long, cu long, n long, a long, d long, added array<long>"), "differences")
+    rows = cut(rows.mapInArrow(run, DIFFERENCES), "differences")
 
     added = rows.select("p", "u", "cp", "cu", "n", "a", F.explode("added").alias("e"))
-    shared = added.groupBy("p", "e").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # elements that the same nodes added are one: edits make runs of shingles
+    shared = added.groupBy("p", "e").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("u")).alias("who")).where("m > 1")
+    runs = shared.groupBy("p", "m", "who").agg(F.min("e").alias("e"), F.count(F.lit(1)).alias("weight")).select("p", "e", "m", "weight")
     own = Window.partitionBy("p", "u")
-    ranked = added.join(shared, ["p", "e"]).withColumn("rank", F.row_number().over(own.orderBy("m", "e")) + F.col("a") - F.count(F.lit(1)).over(own))
+    before = F.coalesce(F.sum("weight").over(own.orderBy("m", "e").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = added.join(runs, ["p", "e"]).withColumn("rank", F.col("a") - F.sum("weight").over(own) + before + 1)
     first = cut(ranked.where(F.col("rank") <= F.floor(F.col("n") * most + 1e-9) + 1).select("p", "e", "u", "cp", "cu"), "rarest")
     other = first.select("p", "e", F.col("u").alias("v"), F.col("cu").alias("cv"))
-    pairs = first.where("cu != cp").join(other, ["p", "e"]).where("cu != cv").select("u", "v")
+    pairs = first.where("cu != cp").join(other, ["p", "e"]).where("cu != cv and (cv = cp or u < v)").select("u", "v")
 
     bounds = rows.select("p", "u", "cp", "cu", "d", (F.col("a") - F.col("d") - c * F.col("n")).alias("x"), (F.col("a") + F.col("d") - c * F.col("n")).alias("y"))
     by_d = bounds.groupBy("p", "d").agg(F.min("x").alias("x"), F.min("y").alias("y"))
@@ -225,7 +261,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         ids = small(families.select("p").union(families.select("u")).distinct().withColumnRenamed("p", "doc_id"))
         return _far_pairs(families, cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts"), k, percent)
 
-    groups = linked_groups(bands(reps), verify, "near", pivots=1, far=far, near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
+    def centres(families: DataFrame) -> DataFrame:
+        ids = small(families.select("p").union(families.select("u")).distinct().withColumnRenamed("p", "doc_id"))
+        return _centres(families, cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts"), k)
+
+    groups = linked_groups(bands(reps), verify, "near", pivots=1, far=far, centres=centres, near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
     out = classes.join(groups.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))

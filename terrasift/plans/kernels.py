@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions.geometry import albers
 from ..functions.scalar import tidy
-from ..operators import areas, learning
+from ..operators import areas, learning, metrics
 from ..operators.graph import greedy_dedup
+from ..sources import readers, scratch, sinks
+from ..streaming import live
 from .base import query
 from .joins import roads
 from .scalars import rings
@@ -85,6 +90,96 @@ def _(t):
     return learning.positive_share(model, learning.weighed(rows.where("id % 4 = 0"))).select("id", F.col("y").cast("int").alias("y"), F.round("p", 4).alias("p"))
 
 
+@query("m09_probe_family")
+def _(t):
+    rows = labelled(t)
+    train, test = learning.weighed(rows.where("id % 4 != 0")), learning.weighed(rows.where("id % 4 = 0"))
+    out = None
+    for name, trainer in learning.trainers(64).items():
+        score = metrics.auroc(learning.positive_share(trainer(train), test)).select(F.lit(name).alias("probe"), F.round("auroc", 3).alias("auroc"))
+        out = score if out is None else out.union(score)
+    return out
+
+
+@query("m06_cross_validated")
+def _(t):
+    folds = learning.cross_validated(labelled(t), "site", 3, learning.trainers(64)["logreg"])
+    return folds.select("fold", F.round("auroc", 3).alias("auroc"))
+
+
+def per_raster(t, f, schema):
+    """f of each 8 x 8 raster, in batches."""
+
+    def run(batches):
+        for batch in batches:
+            yield pd.DataFrame([(i, *f(np.asarray(v).reshape(8, 8))) for i, v in zip(batch["id"], batch["v"])], columns=[c.split()[0] for c in schema.split(", ")])
+
+    return t.vectors().select("id", "v").mapInPandas(run, schema)
+
+
+@query("g03_polygon_mask")
+def _(t):
+    def f(a):
+        side = 2 + 4 * abs(float(a[0, 0]))
+        return (int(K.polygon_mask(np.array([(1, 1), (1 + side, 1), (1, 1 + side)], dtype=float), 8, 8).sum()),)
+
+    return per_raster(t, f, "id long, pixels long")
+
+
+@query("g05_mask_to_polygon")
+def _(t):
+    def f(a):
+        ring = K.largest_polygon(a > 0)
+        p = np.array(ring, dtype=float).reshape(-1, 2)
+        return len(ring), float(abs((p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1]).sum()) / 2) if len(p) else 0.0
+
+    return per_raster(t, f, "id long, corners long, area double")
+
+
+@query("r07_gradient_footprint")
+def _(t):
+    def f(a):
+        mask = K.gradient_footprint(a)
+        return (None if mask is None else float(mask.sum()),)
+
+    return per_raster(t, f, "id long, pixels double")
+
+
+@query("r11_square_resize")
+def _(t):
+    return per_raster(t, lambda a: (round(float(K.lanczos_square(a[None, :, :6], 5).sum()), 6),), "id long, total double")
+
+
+@query("s06_csv_with_text_copy", "SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS lat_raw, c_acctbal AS lat FROM customer")
+def _(t):
+    path = f"{scratch.folder(t.spark)}/terrasift/csv-{uuid.uuid4().hex}"
+    t.raw("customer").select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").cast("double").alias("lat_raw")).write.csv(path, header=True)
+    return readers.csv(t.spark, path, "c_custkey long, lat_raw string")
+
+
+@query("k08_json_append", "SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation")
+def _(t):
+    path = f"{scratch.folder(t.spark)}/terrasift/json-{uuid.uuid4().hex}"
+    for _k in range(2):
+        sinks.json_append(t.raw("nation").select("n_nationkey", "n_name"), path)
+    return readers.json_lines(t.spark, path, t.raw("nation").select("n_nationkey", "n_name").schema)
+
+
+@query("k04_chunk_overwrite", "SELECT s_suppkey, s_suppkey % 5 AS chunk, CASE WHEN s_suppkey % 5 = 2 THEN -1.0e0 ELSE s_acctbal END AS v FROM supplier")
+def _(t):
+    path = f"{scratch.folder(t.spark)}/terrasift/chunks-{uuid.uuid4().hex}"
+    rows = t.raw("supplier").select("s_suppkey", (F.col("s_suppkey") % 5).alias("chunk"), F.col("s_acctbal").alias("v"))
+    sinks.chunked(rows, path, "chunk")
+    sinks.chunked(rows.where("chunk = 2").withColumn("v", F.lit(-1.0)), path, "chunk")
+    return t.spark.read.schema("s_suppkey long, v double, chunk long").parquet(path).select("s_suppkey", "chunk", "v")
+
+
+@query("i07_heartbeat", "SELECT date_trunc('hour', ts) AS start, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS n_err FROM events GROUP BY 1")
+def _(t):
+    beat = live.heartbeat(t.raw("events"), "ts", F.col("event_type") == "error")
+    return beat.select("start", "n", "n_err")
+
+
 @query("m07_group_folds")
 def _(t):
     return learning.group_folds(labelled(t), "site", 5)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import EARTH_M, haversine
+from ..sources.scratch import written
 
 MARGIN, METRES = 1.02, 110_000.0
 
@@ -45,17 +46,18 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, l=("lat", "lon
 def nearest(left: DataFrame, right: DataFrame, key: str, start: float, l=("lat", "lon"), r=("rlat", "rlon"), order: str = "rid", most: float | None = None, earth: float = EARTH_M) -> DataFrame:
     """left with its nearest row of right (ties: least ``order``) and ``dist``; nulls where there is none within ``most``.
 
-    Rows without a hit within a radius try four times that; what stays is as few rows as are far from everything.
+    Rows without a hit within a radius try four times that; what stays is as few rows as are far from everything. Each round's
+    hits and rest are written tables, or every round would run all before it again.
     """
     payload = right.columns
     rest, found, radius = left, None, min(start, most) if most else start
     while True:
         pairs = radius_join(rest, right, radius, l, r, earth)
-        best = pairs.groupBy(key).agg(F.min_by(F.struct("dist", *payload), F.struct("dist", order)).alias("_n")).select(F.col(key).alias("_key"), "_n.*")
+        best = written(pairs.groupBy(key).agg(F.min_by(F.struct("dist", *payload), F.struct("dist", order)).alias("_n")).select(F.col(key).alias("_key"), "_n.*"), "nearest")
         found = best if found is None else found.unionByName(best)
         if radius >= (most or 2.1e7):
             break
-        rest = rest.join(best.select("_key"), F.col(key) == F.col("_key"), "left_anti").where(F.col(l[0]).isNotNull() & F.col(l[1]).isNotNull())
+        rest = written(rest.join(best.select("_key"), F.col(key) == F.col("_key"), "left_anti").where(F.col(l[0]).isNotNull() & F.col(l[1]).isNotNull()), "far")
         if rest.isEmpty():
             break
         radius = min(radius * 4, most or 2.1e7)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Rows up to which a two- or three-column side may be broadcast (about 24 bytes a row); beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
 #: Arrow batches: bytes and records that one Python worker holds at a time.
-BATCH_BYTES, BATCH_ROWS = 12 << 20, 8192
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
 
 _made: list[str] = []
 

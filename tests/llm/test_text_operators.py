@@ -100,6 +100,41 @@ def test_close_lines_are_found_by_simhash(spark):
     assert all(x.gone == [] for x in rows if x.doc_id == 0)
 
 
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_lines_equal_brute_force_over_word_edits(spark):
+    r = random.Random(8)
+    vocabulary = ["v%s" % "".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(60)] + ["the"] * 30
+    texts = []
+    for _ in range(60):
+        base = [r.choice(vocabulary) for _ in range(r.choice([5, 6, 7, 8, 10, 20, 60]))]
+        for _ in range(r.randrange(1, 4)):
+            w = list(base)
+            for _ in range(r.randrange(0, len(w) // 5 + 2)):
+                at, what = r.randrange(len(w)), r.randrange(3)
+                w[at : at + (what != 1)] = [r.choice(vocabulary)] if what else []
+            texts.append(" ".join(w))
+    r.shuffle(texts)
+    words = [x.split() for x in texts]
+    least = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            n = max(len(words[a]), len(words[b]))
+            if min(len(words[a]), len(words[b])) >= 5 and least[a] != least[b] and word_edits(words[a], words[b]) * 5 <= n:
+                old, new = max(least[a], least[b]), min(least[a], least[b])
+                least = [new if x == old else x for x in least]
+    want = {k for k in range(len(texts)) if least[k] != k}
+    assert len(want) > 30
+    assert {x.doc_id for x in line_dedup.report(table(spark, texts)).collect() if x.gone} == want
+
+
 def brute_rules(text):
     text = text or ""
     w = SPACED.findall(text)

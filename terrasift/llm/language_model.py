@@ -4,8 +4,10 @@ Counts: one pass over the training texts gives the count of every distinct token
 grows with the corpus. Model: the commonest MODEL_WORDS tokens, in classes of CLASS_SIZE by rank, and one more
 class for all rarer ones; within that class a token has probability (c+1) / (N_rare + V_rare + 1), so
 unseen tokens have their share. It is trained in numpy by backpropagation through WINDOW tokens at a time, with
-the state carried on from window to window, over a sample of at most TRAIN_TOKENS tokens. Scoring reads whole
-texts in windows, the state carried over.
+the state carried on from window to window: first over a sample of at most TRAIN_TOKENS tokens, for a start, then once over
+every training text. For that, texts are dealt to ROUNDS rounds by hash; in a round each task trains a copy on all of its
+texts, and the copies are averaged by their tokens for the next. Scoring reads whole texts in windows, the state carried
+over. Results depend on how the texts are split into tasks.
 
 The commonest COUNTED tokens' counts travel to the tasks (a fixed size); every other token of a text is joined
 with the counts table. Hashes of 64 bits stand for tokens.
@@ -30,6 +32,7 @@ from .words import Lookup, hashes
 
 MODEL_WORDS, CLASS_SIZE, COUNTED = 4095, 64, 1 << 19
 HIDDEN, WINDOW, STREAMS, TRAIN_TOKENS, TRAIN_DOCS, EPOCHS = 24, 16, 48, 400_000, 1200, 3
+ROUNDS, SHARD_STREAMS, SHARD_RATE, PIECES = 2, 192, 0.002, 64
 END = np.uint64(0x5851F42D4C957F2D)
 LOG10 = float(np.log(10.0))
 
@@ -116,20 +119,30 @@ class Model:
         adam = Adam(self.p, 0.004)
         for epoch in range(EPOCHS):
             adam.rate = 0.004 * (1 - epoch / EPOCHS)
-            h = np.zeros((STREAMS, HIDDEN), dtype=np.float32)
-            for t in range(0, steps, WINDOW):
-                xs, ys = x[t : t + WINDOW], y[t : t + WINDOW]
-                grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-                mask = None
-                h[xs[0] == 0] = 0  # a new text starts from nothing
-                states, tape = forward(self.p["x"][xs] + self.p["b"], self.p["u"], h, mask, keep=True)
-                _, dh = self.output(states.reshape(-1, HIDDEN), ys.ravel(), grads)
-                dx, grads["u"] = backward(dh.reshape(states.shape).astype(np.float32), tape, self.p["u"])
-                np.add.at(grads["x"], xs, dx)
-                grads["b"] += dx.sum(axis=(0, 1))
-                scale = -1.0 / xs.size
-                adam.step({k: g * np.float32(scale) for k, g in grads.items()})
-                h = states[-1].copy()
+            self._pass(x, y, adam)
+
+    def learn(self, ids: np.ndarray, adam: Adam, streams: int) -> int:
+        """Once over the ids, dealt to ``streams`` readers; gives how many were read: all but a rest of less than ``streams``."""
+        steps = len(ids) // streams
+        x, y = np.concatenate(([0], ids))[: steps * streams], ids[: steps * streams]
+        self._pass(x.reshape(streams, steps).T, y.reshape(streams, steps).T, adam)
+        return steps * streams
+
+    def _pass(self, x: np.ndarray, y: np.ndarray, adam: Adam) -> None:
+        h = np.zeros((x.shape[1], HIDDEN), dtype=np.float32)
+        for t in range(0, len(x), WINDOW):
+            xs, ys = x[t : t + WINDOW], y[t : t + WINDOW]
+            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
+            mask = None
+            h[xs[0] == 0] = 0  # a new text starts from nothing
+            states, tape = forward(self.p["x"][xs] + self.p["b"], self.p["u"], h, mask, keep=True)
+            _, dh = self.output(states.reshape(-1, HIDDEN), ys.ravel(), grads)
+            dx, grads["u"] = backward(dh.reshape(states.shape).astype(np.float32), tape, self.p["u"])
+            np.add.at(grads["x"], xs, dx)
+            grads["b"] += dx.sum(axis=(0, 1))
+            scale = -1.0 / xs.size
+            adam.step({k: g * np.float32(scale) for k, g in grads.items()})
+            h = states[-1].copy()
 
     def score(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Natural log probability of each text's ids (END last), texts side by side in windows, states carried over."""
@@ -178,6 +191,45 @@ def _ids(texts: pa.Array, rank: Lookup, words: int) -> tuple[np.ndarray, np.ndar
     return place, h, ids, np.concatenate(([0], ends + 1))
 
 
+def trained(texts: DataFrame, model: Model, keys: np.ndarray) -> int:
+    """Train model, whose words are keys, once on every text of texts (text); gives the number of tokens that were read."""
+    sent, words = texts.sparkSession.sparkContext.broadcast((model, keys)), model.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, keys = sent.value
+        model = Model(words)
+        model.p = {k: v.copy() for k, v in start.p.items()}
+        adam, rank, left, read = Adam(model.p, SHARD_RATE), Lookup(keys), np.zeros(0, dtype=np.int64), 0
+        for batch in batches:
+            left = np.concatenate((left, _ids(batch.column(0), rank, words)[2]))
+            done = model.learn(left, adam, min(SHARD_STREAMS, max(1, len(left) // (8 * WINDOW))))
+            left, read = left[done:], read + done
+        if len(left):
+            read += model.learn(left, adam, 1)
+        if read:
+            flat = np.concatenate([v.ravel() for v in model.p.values()])
+            parts = [x.tobytes() for x in np.array_split(flat, PIECES)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([read] * PIECES, pa.int64()), pa.array(parts, pa.binary())], names=["piece", "n", "p"])
+
+    def add(table: pa.Table) -> pa.Table:
+        n, total = table.column("n").to_pylist(), 0.0
+        for k, part in zip(n, table.column("p")):
+            total = total + k * np.frombuffer(part.as_py(), dtype=np.float32).astype(np.float64)
+        mean = (total / sum(n)).astype(np.float32).tobytes()
+        return pa.table({"piece": pa.array([table.column("piece")[0].as_py()], pa.int32()), "n": pa.array([sum(n)], pa.int64()), "p": pa.array([mean], pa.binary())})
+
+    schema = "piece int, n long, p binary"
+    rows = sorted(texts.select("text").mapInArrow(run, schema).groupBy("piece").applyInArrow(add, schema).collect(), key=lambda r: r.piece)
+    sent.unpersist()
+    if not rows:
+        return 0
+    flat, at = np.concatenate([np.frombuffer(r.p, dtype=np.float32) for r in rows]), 0
+    for v in model.p.values():
+        v[...] = flat[at : at + v.size].reshape(v.shape)
+        at += v.size
+    return rows[0].n
+
+
 def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score, a row a text of docs, learning from ``training``."""
     spark = docs.sparkSession
@@ -194,7 +246,9 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     model.start(np.concatenate(([int(whole.end)], c[: words - 1])), n_rare)
     sample = training.select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("_o")).where("length(text) > 0").orderBy("_o").limit(TRAIN_DOCS)
     _, _, ids, _ = _ids(sample.select("text").toArrow().column(0), Lookup(keys[: words - 1]), words)
-    model.train(ids[:TRAIN_TOKENS])
+    model.train(ids[:TRAIN_TOKENS])  # a start for the rounds over all texts
+    for k in range(ROUNDS):
+        trained(training.where(F.pmod(F.xxhash64(id_col, text_col, F.lit(1)), F.lit(ROUNDS)) == k).select(F.col(text_col).alias("text")), model, keys[: words - 1])
 
     sent = spark.sparkContext.broadcast((keys, np.log10(c + 1.0).astype(np.float64), model))
 

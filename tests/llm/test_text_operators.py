@@ -208,6 +208,22 @@ def test_language_model_counts_and_scores(spark):
         assert x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 7 == 2) and x.score < 0
 
 
+def test_language_model_trains_on_every_text(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(language_model, "TRAIN_DOCS", 2)
+    read, run = [], language_model.trained
+    monkeypatch.setattr(language_model, "trained", lambda texts, model, keys: read.append(run(texts, model, keys)))
+    texts = [" ".join("w%d" % ((k + j) % 20) for j in range(40)) for k in range(300)] + [None, ""]
+    row = language_model.score(table(spark, texts), table(spark, texts)).first()
+    assert sum(read) == row.train_tokens == 300 * 41 + 2
+    model, ids = language_model.Model(3), np.tile([1, 2, 0], 1000)
+    before = model.score(ids, np.array([0, 3000]))
+    keys = language_model.hashes(language_model.pa.array(["a b"]))[0]
+    assert run(spark.createDataFrame([("a b",)] * 1000, "text string"), model, keys) == 3000
+    assert model.score(ids, np.array([0, 3000])) > before
+
+
 def test_language_model_is_a_distribution():
     import numpy as np
 

@@ -57,6 +57,12 @@ def _(t):
     return R.window_mode(t.vectors().where("id < 60").withColumn("c", kinds), "id", "c", 8, 1)
 
 
+@query("r04_window_mode_all")
+def _(t):
+    kinds = F.transform("v", lambda x: F.when(x < -0.05, 0).when(x < 0.05, 1).otherwise(2))
+    return R.window_mode(t.vectors().withColumn("c", kinds), "id", "c", 8, 1)
+
+
 _IN = f"avg(x + 1) FILTER (WHERE {MASK})"
 _OUT = f"avg(x + 1) FILTER (WHERE NOT ({MASK}))"
 
@@ -117,6 +123,12 @@ def _(t):
     return t.vectors().where("id < 50").select("id", at(1).alias("before"), at(2).alias("after"))
 
 
+@query("r16_two_epoch_ratio_all")
+def _(t):
+    at = lambda k: tidy(R.inside_ratio(F.transform("v", lambda x: x + k), square()))
+    return t.vectors().select("id", at(1).alias("before"), at(2).alias("after"))
+
+
 _NORM = "greatest(sqrt(list_sum(list_transform(v, lambda x: x * x))), 1e-12)"
 
 

@@ -74,3 +74,32 @@ def test_road_distance_and_cap(spark):
     roads = spark.createDataFrame([(-90.01, 39.0, -90.01, 40.5)], "xa double, ya double, xb double, yb double")
     got = {r.id: r.dist for r in areas.road_distance(points, roads, 5000.0).collect()}
     assert abs(got[1] - math.radians(0.01) * 6371000 * math.cos(math.radians(40))) < 1 and got[2] == 5000.0
+
+
+def test_whole_tables_of_rasters(spark):
+    import numpy as np
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    known = entry.queries()
+    v = {x.id: np.array(x.v) for x in catalog_vectors(spark, sf)}
+    ratio = known["r16_two_epoch_ratio_all"](spark, sf).collect()
+    mode = known["r04_window_mode_all"](spark, sf).collect()
+    assert {x.id for x in ratio} == set(v) and max(v) >= 60 and len(mode) == 64 * len(v)
+    square = np.zeros((8, 8), dtype=bool)
+    square[2:6, 2:6] = True
+    for x in ratio:
+        p = v[x.id].reshape(8, 8)
+        assert abs(x.before - (p + 1)[square].mean() / (p + 1)[~square].mean()) < 1e-4 and abs(x.after - (p + 2)[square].mean() / (p + 2)[~square].mean()) < 1e-4
+    for x in mode:
+        p = v[x.id].reshape(8, 8)
+        kinds = np.where(p < -0.05, 0, np.where(p < 0.05, 1, 2))
+        near = kinds[max(0, x.i // 8 - 1) : x.i // 8 + 2, max(0, x.i % 8 - 1) : x.i % 8 + 2].ravel()
+        assert x.mode == np.bincount(near, minlength=3).argmax()
+
+
+def catalog_vectors(spark, sf):
+    from terrasift.plans import base
+
+    return base.Tables(spark, sf).vectors().select("id", "v").collect()

@@ -26,6 +26,21 @@ def pixel_median(scenes: DataFrame, key: str, pixels: str) -> DataFrame:
     return medians.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda p: p["_m"]).alias(pixels))
 
 
+def composite(scenes: DataFrame, key: str, bands: list[str], least_pixels: int = 256, least_scenes: int = 1) -> DataFrame:
+    """(key, bands): median composites of masked scenes (missing pixels null). Scenes with fewer than ``least_pixels`` pixels and
+    keys with fewer than ``least_scenes`` of the others are left out, missing pixels get their band's median (0 if it has none),
+    and keys with a band whose percentiles 1 and 99 are less than 1 apart are rejected."""
+    clear = scenes.where(F.size(present(F.col(bands[0]))) >= least_pixels)
+    enough = clear.groupBy(key).count().where(F.col("count") >= least_scenes).select(key)
+    out, clear = enough, clear.join(enough, key)
+    for band in bands:
+        out = out.join(pixel_median(clear, key, band), key)
+        middle = F.coalesce(percentile_of(F.col(band), 0.5), F.lit(0.0))
+        out = out.withColumn("_fill", middle).withColumn(band, F.transform(band, lambda x: F.coalesce(x, F.col("_fill")))).drop("_fill")
+        out = out.where(percentile_of(F.col(band), 0.99) - percentile_of(F.col(band), 0.01) >= 1)
+    return out
+
+
 def stretch(pixels: Column, low: Column, high: Column) -> Column:
     """Between two values to [0, 1], clipped; nothing if they are equal."""
     return F.transform(pixels, lambda x: F.when(high > low, F.least(F.greatest((x - low) / (high - low), F.lit(0.0)), F.lit(1.0))))

@@ -103,3 +103,13 @@ def catalog_vectors(spark, sf):
     from terrasift.plans import base
 
     return base.Tables(spark, sf).vectors().select("id", "v").collect()
+
+
+def test_composite_drops_clouds_fills_holes_and_rejects_flat(spark):
+    from terrasift.operators import rasters
+
+    ramp = [float(k) for k in range(20)]
+    rows = [(1, [None, *ramp[1:]]), (1, [None, *[x + 2 for x in ramp[1:]]]), (1, [500.0] * 3 + [None] * 17)]  # the last is nearly all cloud
+    rows += [(2, ramp), (3, [5.0] * 20), (3, [5.5] * 20)]
+    out = rasters.composite(spark.createDataFrame(rows, "k long, b array<double>"), "k", ["b"], least_pixels=10, least_scenes=2).collect()
+    assert [x.k for x in out] == [1] and list(out[0].b) == [11.0, *[x + 1 for x in ramp[1:]]]

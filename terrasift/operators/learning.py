@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics
@@ -22,11 +24,21 @@ def weighed(df: DataFrame, classes: int = 2) -> DataFrame:
 
 
 def group_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
-    """(group, fold): groups by size, the largest first, dealt in a snake over the folds, so that sizes even out without a running total."""
-    n = df.groupBy(group).count()
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), group)) - 1  # one row for each group
-    turn, place = F.floor(rank / folds), F.pmod(rank, F.lit(folds))
-    return n.select(group, F.when(turn % 2 == 0, place).otherwise(folds - 1 - place).cast("int").alias("fold"))
+    """(group, fold): groups by size, the largest first, each to the fold with the fewest rows (the least of equal ones)."""
+    n = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    schema = f"{n.select(F.col(group).alias('g')).schema['g'].dataType.simpleString()}"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = [(0, k) for k in range(folds)]  # a heap: lightest fold first
+        for batch in batches:
+            dealt = []
+            for size in batch.column(1).to_pylist():
+                dealt.append(load[0][1])
+                heapq.heapreplace(load, (load[0][0] + size, load[0][1]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dealt, pa.int32())], names=[group, "fold"])
+
+    ordered = n.coalesce(1).sortWithinPartitions(F.desc("n"), group)  # one row for each group, in one task
+    return ordered.mapInArrow(deal, f"`{group}` {schema}, fold int")
 
 
 def trainers(width: int) -> dict[str, Callable[[DataFrame], object]]:

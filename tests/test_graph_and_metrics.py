@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terrasift.operators import graph, metrics
+from terrasift.operators import graph, learning, metrics
 from tests.test_spatial import dist
 
 
@@ -29,6 +29,16 @@ def test_components_of_paths_and_cycles(spark):
     assert got == {x: find(parent, x) for x in parent}
 
 
+def test_group_folds_take_the_lightest(spark):
+    sizes = [90, 30, 25, 20, 20, 15, 15, 10, 10, 10, 5, 5, 5, 5, 5]
+    rows = [(k,) for k, n in enumerate(sizes) for _ in range(n)]
+    load, want = [0] * 5, {}
+    for k, n in enumerate(sizes):
+        want[k] = load.index(min(load))
+        load[want[k]] += n
+    assert {x.site: x.fold for x in learning.group_folds(spark.createDataFrame(rows, "site long"), "site", 5).collect()} == want and max(load) == 90
+
+
 def cloud(n, seed):
     r = random.Random(seed)
     return [(i, 40 + r.gauss(0, 0.02) + 0.2 * (i % 3), -90 + r.gauss(0, 0.02)) for i in range(n)]

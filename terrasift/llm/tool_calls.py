@@ -97,7 +97,8 @@ def placed(calls: DataFrame) -> DataFrame:
         if new.where("moved").isEmpty():
             break
     found = keys.select("conv_id", "call_id", F.col("key.t").alias("place_turn"), F.col("key.i").alias("place_index"), F.col("key.hops").alias("hops"), "cycle")
-    return calls.join(found, ["conv_id", "call_id"])
+    alone = still.where("conv_id is null or call_id is null")  # nothing can wait for or depend on these by identifier
+    return calls.join(found, ["conv_id", "call_id"]).unionByName(alone)
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -136,7 +137,7 @@ REPLY = {"type": "object", "required": ["prompt", "turn"], "additionalProperties
 
 def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of (conv_id, turn, role, text): each user turn calls ``reply`` and depends on the reply two turns
-    before; each assistant turn is the result of the turn before it."""
+    before; each assistant turn is the result of the turn before it. Turns whose conv_id or turn is null are neither."""
     name = lambda back: F.concat_ws("-", "conv_id", F.col("turn") - back)
     arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), "turn"))
     calls = turns.where("role = 'user' and conv_id is not null and turn is not null").select(F.col("conv_id").cast("long").alias("conv_id"), name(0).alias("call_id"), F.col("turn").cast("long").alias("turn"), F.lit(0).alias("index"), F.lit("reply").alias("name"), arguments.alias("arguments"), F.array(name(2)).alias("depends_on"))

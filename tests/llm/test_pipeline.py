@@ -107,6 +107,14 @@ def test_calls_move_behind_what_they_wait_for(spark):
     assert any(rows[2, k].cycle for k in "xyz") and rows[2, "w"].cycle
 
 
+def test_null_identifiers_stay_beside_a_late_dependency(spark):
+    calls = spark.createDataFrame([(1, "a", 0, 0, "f", "{}", ["c"]), (1, "c", 5, 0, "f", "{}", []), (1, None, 3, 1, "f", "{}", ["a"]), (None, "n", 4, 0, "f", "{}", None)], CALLS)
+    rows = {(x.conv_id, x.call_id): x for x in tool_calls.placed(calls).collect()}
+    assert len(rows) == 4 and rows[1, "a"].place_turn == 5
+    for k, at in (((1, None), (3, 1)), ((None, "n"), (4, 0))):
+        assert (rows[k].place_turn, rows[k].place_index, rows[k].hops, rows[k].cycle) == (*at, 0, False)
+
+
 def test_tool_calls_of_nothing(spark):
     calls, results = tool_calls.conversation_calls(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert tool_calls.link(calls, results, {"reply": tool_calls.REPLY}).collect() == []

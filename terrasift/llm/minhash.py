@@ -274,4 +274,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs without near duplicates: of each group, the document of the least doc_id stays (of its repeated rows, one)."""
     gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(small(cut(gone, "gone")), "doc_id", "left_anti").select(docs.columns)
+    rest = docs.join(small(cut(gone, "gone")), "doc_id", "left_anti").select(docs.columns)
+    repeated = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return rest
+    repeated = small(repeated)
+    return rest.join(repeated, "doc_id", "left_anti").unionByName(rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)

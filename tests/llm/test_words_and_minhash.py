@@ -114,6 +114,13 @@ def test_repeated_rows_and_empty_tables(spark):
     assert minhash.one_of_each(df.limit(0)).columns == df.columns
 
 
+def test_one_of_each_drops_repeated_rows(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = table(spark, [text, text, "quite another text that has nothing in common with it"])
+    rows = minhash.one_of_each(docs.union(docs)).collect()
+    assert sorted(x.doc_id for x in rows) == [0, 2]
+
+
 def test_components_and_class_min(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(90, 80), (80, 85), (3, 3)], "a long, b long")
     assert {x.node: x.comp for x in common.components(edges).collect()} == {**{k: 0 for k in range(41)}, 80: 80, 85: 80, 90: 80}

@@ -3,7 +3,8 @@
 A text is lower-cased, runs of other characters than letters become one space, and it is cut into blocks of BLOCK bytes
 (whole, never a prefix); every block is compressed with each language's
 dictionary, and the language whose sum is smallest wins, ties going to the least name by code point. A dictionary
-holds at most DICTIONARY bytes: starts of training texts, one for each of SAMPLES groups of ids, the least by hash.
+holds at most DICTIONARY bytes: pieces of training texts from hashed positions, one for each of SAMPLES groups of ids, the
+least by hash, each with an equal share of the bytes.
 The score is a logistic share of the winner against the next, from their difference in bits a byte; where it is
 narrow (under MARGIN bits a byte) ``rejected`` is true, while lang_pred keeps the nearest language.
 
@@ -24,20 +25,21 @@ from pyspark.sql import functions as F
 
 from .common import arrow_limits, crc_mod
 
-BLOCK, DICTIONARY, SAMPLES, START, LEVEL, MARGIN = 1024, 64 << 10, 256, 400, 9, 0.02
+BLOCK, DICTIONARY, SAMPLES, PIECE, LEVEL, MARGIN = 1024, 64 << 10, 256, 400, 9, 0.02
 
 _OTHERS = re.compile(r"[\W\d_]+")
 
 
 def dictionaries(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """Raw content for each language: at most SAMPLES starts of texts."""
+    """Raw content for each language: at most SAMPLES pieces of texts, each cut to an equal share."""
     order = F.xxhash64("doc_id", text_col)
     group = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLES))
-    some = training.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), group.alias("g"), order.alias("o"), F.substring(text_col, 1, START).alias("t"))
+    at = (F.pmod(F.xxhash64("doc_id", text_col, F.lit(2)), F.greatest(F.length(text_col) - PIECE + 1, F.lit(1))) + 1).cast("int")
+    some = training.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), group.alias("g"), order.alias("o"), F.substring(F.col(text_col), at, F.lit(PIECE)).alias("t"))
     found: dict[str, list] = {}
     for r in some.groupBy("lang", "g").agg(F.min_by("t", F.struct("o", "t")).alias("t")).orderBy("lang", "g").toLocalIterator():
         found.setdefault(r.lang, []).append(r.t)
-    return {k: b"".join(map(letters, v))[-DICTIONARY:] for k, v in found.items()}
+    return {k: b"".join(letters(t)[: DICTIONARY // len(v)] for t in v) for k, v in found.items()}
 
 
 def letters(text: str) -> bytes:

@@ -280,6 +280,18 @@ def test_quality_toxicity_and_language_on_marked_texts(spark):
     assert g[0].lang_pred == g[1].lang_pred == "und" and all(0 <= x.score <= 1 for m in (q, t, g) for x in m.values())
 
 
+def test_languages_are_learned_from_whole_texts(spark):
+    r, head = random.Random(9), "shared boilerplate at the head of any document " * 10
+    words = {x: ["".join(r.choice(x) for _ in range(6)) for _ in range(40)] for x in ("abcdef", "uvwxyz")}
+    body = lambda x, n: " ".join(r.choice(words[x]) for _ in range(n))
+    rows = [(k, head + body(x, 400), x) for k, x in enumerate(sorted(words) * 20)]
+    raw = language_id.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert all(len(v) <= language_id.DICTIONARY for v in raw.values())
+    docs = spark.createDataFrame([(k, body(x, 50), x) for k, x in enumerate(sorted(words) * 5)], "doc_id long, text string, lang string")
+    want = {x.doc_id: x.lang for x in docs.collect()}
+    assert {x.doc_id: x.lang_pred for x in language_id.predict(docs, raw).collect()} == want
+
+
 def test_scores_without_labels(spark):
     docs, none = table(spark, ["a b", None]), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {x.score for x in quality_model.held_out_scores(docs, none).collect()} == {0.5}

@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from urllib.parse import urlparse
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a two- or three-column side may be broadcast (about 24 bytes a row); beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
 #: Arrow batches: bytes and records that one Python worker holds at a time.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
 
-_made: list[str] = []
+
+class _Made(threading.local):
+    """Paths of the tables that this thread's runs have cut: runs in other threads don't release them."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_limits(spark: SparkSession) -> None:
-    """Bound what an Arrow batch holds, so that a Python worker's memory doesn't follow the length of texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Bound what an Arrow batch of this session holds, so that a Python worker's memory doesn't follow the length of texts; less stays as it is."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, "0").lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,28 +55,40 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/terrasift/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _made.append(path)
+    _made.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_mark() -> int:
-    return len(_made)
+    return len(_made.paths)
 
 
 def cut_release(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
     """Delete the cut tables made from mark ``since`` up to mark ``until``; only for results that are already written."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    end = len(_made) if until is None else until
+    end = len(_made.paths) if until is None else until
     for k in range(since, end):
-        if _made[k]:
-            path = jvm.org.apache.hadoop.fs.Path(_made[k])
+        if _made.paths[k]:
+            path = jvm.org.apache.hadoop.fs.Path(_made.paths[k])
             path.getFileSystem(conf).delete(path, True)
-            _made[k] = ""
+            _made.paths[k] = ""
 
 
-def is_local_path(path: str) -> bool:
-    return urlparse(path).scheme in ("", "file")
+def running(df: DataFrame, order: list[Column], sums: dict[str, str], label: str = "running") -> DataFrame:
+    """df with ``at``, the number of rows before each in this order, and for each out: column of ``sums`` the column's sum over them.
+
+    Rows are sorted over all tasks and written with the number of their task; windows run within tasks, and one row of sums
+    for each task gives what lies before it. So no window holds all rows, nor all those of a common value.
+    """
+    rows = cut(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), label)
+    each = {"at": F.count(F.lit(1))} | {out: F.sum(c) for out, c in sums.items()}
+    before, own = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    total = rows.groupBy(F.col("_part").alias("_p")).agg(*[x.alias(f"_t_{out}") for out, x in each.items()])
+    shifts = total.select("_p", *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_s_{out}") for out in each])
+    inner = rows.select("*", *[F.coalesce(x.over(own), F.lit(0)).alias(f"_o_{out}") for out, x in each.items()])
+    joined = inner.join(F.broadcast(shifts), F.col("_part") == F.col("_p"))  # a row for each task
+    return joined.select(*df.columns, *[(F.col(f"_s_{out}") + F.col(f"_o_{out}")).alias(out) for out in each])
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -120,67 +144,32 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return labels
 
 
-def linked_groups(buckets: DataFrame, verify, label: str, pivots: int = 2, near: str = "true", far=None, centres=None) -> DataFrame:
-    """Components of the verified links among nodes that share a bucket: (node, comp), linked nodes only.
+def shared_members(buckets: DataFrame, label: str) -> DataFrame:
+    """(bucket, node, lo, n): the nodes of buckets (bucket, node) that hold unlike ones, the least of them and the bucket's rows."""
+    sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").drop("hi")
+    return cut(buckets.join(sized, "bucket").distinct(), f"{label}-members")
+
 
-    ``buckets``: (bucket, node, size), of nodes that are all different; no link joins nodes whose sizes fail
-    ``near``, SQL over sa and sb. ``verify``: takes (a, b), returns the linked ones of them. A bucket of two gives its pair. Larger ones are first tried against ``pivots``
-    members, one a round; nodes that these links join need no further comparison. In what is left, every
-    pair of a bucket's nodes from different components is verified, so no link that would change a
-    component is lost, and a group of n alike nodes costs about n comparisons, not n squared.
-    ``far``, if given, finds those pairs without listing all: buckets whose least nodes are in one component
-    become one family, of (p, u), p being its node with most links; ``centres`` gives (p, q), the node q to
-    compare it to in p's place. It takes (p, u, cp, cu), the families' nodes u
-    with components, and returns the (a, b) among the u of one p from different components that may be linked.
+def stars(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> tuple[DataFrame, DataFrame]:
+    """Links of nodes to the least nodes of their buckets (shared_members): edges (a, b) and their components (node, comp).
+
+    ``verify`` takes (a, b), a < b, and gives the linked ones of them. Each node is first compared to the least of all its buckets'
+    least nodes, then to those of them that it isn't joined with yet: n alike nodes cost about n comparisons.
     """
-    spark = buckets.sparkSession
-    sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1 and lo != hi")
-    sized = cut(sized, f"{label}-sized")
-    edges = cut(verify(sized.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct()).select("a", "b"), f"{label}-pairs")
-    large = sized.where("n > 2").select("bucket", "lo")
-    if large.isEmpty():
-        return components(edges, label)
-    members = cut(buckets.join(small(large, BROADCAST_ROWS // 2), "bucket"), f"{label}-members")
-    comps = None
-    for k in range(pivots):
-        if k == 0:
-            tried = members.select(F.col("lo").alias("a"), F.col("node").alias("b"))
-        else:
-            open_ = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.xxhash64("node", F.lit(k))).alias("pivot")).where("c0 != c1")
-            mixed = mixed.join(comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pc")), "pivot", "left").select("bucket", "pivot", F.coalesce("pc", "pivot").alias("pc"))
-            tried = open_.join(mixed, "bucket").where("comp != pc").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
-        found = verify(tried.where("a != b").distinct()).select("a", "b")
-        edges = cut(edges.union(found), f"{label}-edges{k}")
-        comps = components(edges, f"{label}-c{k}")
-    if far is not None:
-        of = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
-        ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").count()
-        centre = comps.join(ends, "node").groupBy("comp").agg(F.max_by("node", F.struct("count", -F.col("node"))).alias("centre"))
-        each = members.select("lo", "node").distinct().join(of("lo", "cp"), "lo", "left").join(centre.withColumnRenamed("comp", "cp"), "cp", "left")
-        each = each.withColumn("p", F.coalesce("centre", "lo"))
-        each = cut(each.select("p", F.col("node").alias("u")).union(each.select("p", "lo")).where("p != u").distinct(), f"{label}-families")
-
-        q = cut(centres(each), f"{label}-centres")
-        moved = each.join(q, "p")
-        each = cut(moved.select(F.col("q").alias("p"), "u").union(moved.select("q", "p")).where("p != u").distinct(), f"{label}-families")
-
-        def known(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-            named = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
-            both = pairs.join(named("p", "cp"), "p", "left").join(named("u", "cu"), "u", "left")
-            return both.select("p", "u", F.coalesce("cp", "p").alias("cp"), F.coalesce("cu", "u").alias("cu"))
-
-        tried = known(each, comps).where("cp != cu").select(F.least("p", "u").alias("a"), F.greatest("p", "u").alias("b")).distinct()
-        edges = cut(edges.union(verify(tried).select("a", "b")), f"{label}-centred")
-        comps = components(edges, f"{label}-c")
-        families = cut(known(each, comps), f"{label}-known")
-        mixed = families.groupBy("p").agg(F.bool_or(F.col("cu") != F.col("cp")).alias("m"), F.count(F.lit(1)).alias("n")).where("m and n > 1").select("p")
-        found = cut(verify(far(families.join(mixed, "p"))).select("a", "b"), f"{label}-last")
-        return comps if found.isEmpty() else components(edges.union(found), f"{label}-final")
-    open_ = members.join(comps, "node", "left").select("bucket", "node", F.col("size").alias("sa"), F.coalesce("comp", "node").alias("comp"))
-    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("bucket")
-    rest = cut(open_.join(mixed, "bucket"), f"{label}-rest")
-    other = rest.select(F.col("bucket").alias("bucket2"), F.col("node").alias("b"), F.col("sa").alias("sb"), F.col("comp").alias("cb"))
-    tried = rest.select("bucket", F.col("node").alias("a"), "sa", F.col("comp").alias("ca")).join(other, (F.col("bucket") == F.col("bucket2")) & F.expr(f"ca != cb and a < b and {near}")).select("a", "b").distinct()
-    found = cut(verify(tried).select("a", "b"), f"{label}-last")
-    return comps if found.isEmpty() else components(edges.union(found), f"{label}-final")
+    least = cut(members.groupBy(F.col("node").alias("b")).agg(F.min("lo").alias("a")).where("a != b").select("a", "b"), f"{label}-least")
+    edges = cut(verify(least).select("a", "b"), f"{label}-edges")
+    comps = components(edges, f"{label}-c")
+    open_ = with_components(members.select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a != b").distinct(), comps)
+    open_ = open_.where("ca != cb").select("a", "b").join(least, ["a", "b"], "left_anti")
+    more = cut(verify(open_).select("a", "b"), f"{label}-more")
+    if more.isEmpty():
+        return edges, comps
+    edges = cut(edges.union(more), f"{label}-edges")
+    return edges, components(edges, f"{label}-c")
+
+
+def with_components(pairs: DataFrame, comps: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """pairs with their nodes' components ca and cb; a node that is in none is its own."""
+    named = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
+    both = pairs.join(named(a, "ca"), a, "left").join(named(b, "cb"), b, "left")
+    return both.withColumns({"ca": F.coalesce("ca", a), "cb": F.coalesce("cb", b)})

@@ -14,8 +14,9 @@ unlinked are sought by how they differ from it (see _far_pairs), not by listing
 Recall: at similarity 0.8 the chance that none of the 42 bands agrees is (1 - 0.8**6)**42, about 3e-6.
 
 Cases: null, empty or blank texts have an empty set, link with nothing and are kept. Texts with fewer words
-than a shingle are one shingle, the whole sequence. Repeated rows (same doc_id) share their class. Other
-columns are ignored. An empty table gives an empty result.
+than a shingle are one shingle, the whole sequence. Repeated rows (same doc_id) share their class; if their texts
+differ, the least text by code point stands for all of them. A row without doc_id is linked with nothing: its component_id is
+null and it is kept. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, class_min, cut, cut_mark, cut_release, linked_groups, small
+from .common import arrow_limits, class_min, components, cut, cut_mark, cut_release, shared_members, small, stars, with_components
 from .words import hashes, mix
 
-REGISTERS, BAND, MANTISSA = 256, 6, 10
+REGISTERS, BAND, MANTISSA, SALTS = 256, 6, 10, 16
 EMPTY = 0xFFFF
 _SHIFT = np.uint64(64 - int(math.log2(REGISTERS)))
 _ODD = [np.uint64(x | 1) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3)]
@@ -103,21 +104,21 @@ def sketch(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "tex
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """(bucket, node, size): each band's number and the hash of its registers."""
+    """(bucket, node): the hash of each band's number and registers."""
     count = REGISTERS // BAND
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            regs = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
+            regs = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
             key = np.zeros((len(regs), count), dtype=np.uint64)
             for j in range(BAND):
                 key = mix(key ^ regs[:, j : count * BAND : BAND].astype(np.uint64) + np.uint64(j << 32))
             key = mix(key + np.arange(count, dtype=np.uint64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(regs) + 1) * count, type=pa.int32()), pa.array(key.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["node", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "keys"])
 
-    keyed = reps.select("doc_id", "n_shingles", "regs").mapInArrow(run, "node long, size long, keys array<long>")
-    return keyed.select(F.explode("keys").alias("bucket"), "node", "size")
+    keyed = reps.select("doc_id", "regs").mapInArrow(run, "node long, keys array<long>")
+    return keyed.select(F.explode("keys").alias("bucket"), "node")
 
 
 def _estimate(pairs: DataFrame, percent: int) -> DataFrame:
@@ -231,44 +232,80 @@ def _far_pairs(families: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     up, down = Window.partitionBy("p").orderBy("d"), Window.partitionBy("p").orderBy(F.desc("d"))
     by_d = by_d.select("p", "d", F.min("x").over(up).alias("least_x"), F.min("y").over(down).alias("least_y"))
     bounds = cut(bounds.join(by_d, ["p", "d"]), "bounds")
-    left, right = bounds.select("p", "u", "cu", "cp", "d", "x", "least_y"), bounds.select("p", F.col("u").alias("v"), F.col("cu").alias("cv"), F.col("d").alias("dv"), "y", "least_x")
-    can = "u != v and cu != cv and d <= dv and x + y <= 1e-9"
-    pairs = pairs.union(left.where("cu != cp and x + least_y <= 1e-9").join(right, "p").where(can).select("u", "v"))
-    pairs = pairs.union(left.join(right.where("y + least_x <= 1e-9"), "p").where(can + " and cv != cp").select("u", "v"))
+    # a family is dealt over SALTS tasks: its u by a salt, all its v that can meet one of them to every salt
+    left = bounds.where("x + least_y <= 1e-9").select("p", "u", "cu", "cp", "d", "x", F.pmod(F.xxhash64("u"), F.lit(SALTS)).alias("salt"))
+    right = bounds.where("y + least_x <= 1e-9").select("p", F.col("u").alias("v"), F.col("cu").alias("cv"), F.col("d").alias("dv"), "y")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    can = "u != v and cu != cv and d <= dv and x + y <= 1e-9 and (cu != cp or cv != cp)"
+    pairs = pairs.union(left.join(right, ["p", "salt"]).where(can).select("u", "v"))
     return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
+def _linked(reps: DataFrame, verify, far, centres) -> DataFrame:
+    """(node, comp) of all linked nodes.
+
+    Buckets whose least nodes are in one component become one family, of (p, u), p being that component's node with most links, or
+    the node that ``centres`` names in its place. Members are compared to p; ``far`` takes families (p, u, cp, cu) with
+    components and gives the (a, b) among the u of one p, from different components, that may be linked.
+    """
+    members = shared_members(bands(reps), "near")
+    edges, comps = stars(members, verify, "near")
+    large = members.where("n > 2").select("lo", "node").distinct()
+    if large.isEmpty():
+        return comps
+    ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").count()
+    centre = comps.join(ends, "node").groupBy("comp").agg(F.max_by("node", F.struct("count", -F.col("node"))).alias("centre"))
+    of_lo = comps.select(F.col("node").alias("lo"), F.col("comp").alias("cp"))
+    each = large.join(of_lo, "lo", "left").join(centre.withColumnRenamed("comp", "cp"), "cp", "left").withColumn("p", F.coalesce("centre", "lo"))
+    each = cut(each.select("p", F.col("node").alias("u")).union(each.select("p", "lo")).where("p != u").distinct(), "near-families")
+    moved = each.join(cut(centres(each), "near-centres"), "p")
+    each = cut(moved.select(F.col("q").alias("p"), "u").union(moved.select("q", "p")).where("p != u").distinct(), "near-families")
+
+    tried = with_components(each, comps, "p", "u").where("ca != cb").select(F.least("p", "u").alias("a"), F.greatest("p", "u").alias("b")).distinct()
+    edges = cut(edges.union(verify(tried).select("a", "b")), "near-centred")
+    comps = components(edges, "near-c")
+    families = cut(with_components(each, comps, "p", "u").withColumnsRenamed({"ca": "cp", "cb": "cu"}), "near-known")
+    mixed = families.groupBy("p").agg(F.bool_or(F.col("cu") != F.col("cp")).alias("m"), F.count(F.lit(1)).alias("n")).where("m and n > 1").select("p")
+    found = cut(verify(far(families.join(mixed, "p"))).select("a", "b"), "near-last")
+    return comps if found.isEmpty() else components(edges.union(found), "near-final")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    words = rows.where("doc_id is not null")
+    repeated = cut(words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "repeated-ids")
+    if not repeated.isEmpty():
+        ids = small(repeated.select("doc_id"))
+        words = words.join(ids, "doc_id", "left_anti").unionByName(words.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
     mark = cut_mark()
-    sketches = cut(sketch(docs, k, id_col, text_col), "sketch")
+    sketches = cut(sketch(words, k), "sketch")
     full = sketches.where("n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2")
     classed = class_min(full, ["n_shingles", "f1", "f2"], "doc_id", "rep").select("doc_id", "n_shingles", "rep")
     classes = cut(classed.union(sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long"))), "classes")
-    reps = cut(sketches.join(small(classes.where("doc_id = rep").select("doc_id").distinct(), 100_000), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "regs"), "reps")
+    reps = cut(sketches.join(small(classes.where("doc_id = rep").select("doc_id"), 100_000), "doc_id").select("doc_id", "n_shingles", "regs"), "reps")
     cut_release(docs.sparkSession, mark, mark + 1)
 
     ra, rb = (reps.select(F.col("doc_id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}")) for x in "ab")
-    words = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    near_size = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        near = cut(_estimate(pairs.join(ra, "a").join(rb, "b").select("a", "b", "ra", "rb", "na", "nb"), percent), "near")
-        ids = small(near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "doc_id"))
-        texts = cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
-        return _verify(near, texts, k, percent)
+    def texts_of(ids: DataFrame) -> DataFrame:
+        return cut(words.join(small(ids), "doc_id"), "texts")
 
-    def far(families: DataFrame) -> DataFrame:
-        ids = small(families.select("p").union(families.select("u")).distinct().withColumnRenamed("p", "doc_id"))
-        return _far_pairs(families, cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts"), k, percent)
+    def verify(pairs: DataFrame) -> DataFrame:
+        sided = pairs.join(ra, "a").join(rb, "b").where(near_size)
+        near = cut(_estimate(sided.select("a", "b", "ra", "rb", "na", "nb"), percent), "near")
+        return _verify(near, texts_of(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()), k, percent)
 
-    def centres(families: DataFrame) -> DataFrame:
-        ids = small(families.select("p").union(families.select("u")).distinct().withColumnRenamed("p", "doc_id"))
-        return _centres(families, cut(words.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts"), k)
+    def both(families: DataFrame) -> DataFrame:
+        return texts_of(families.select(F.col("p").alias("doc_id")).union(families.select("u")).distinct())
 
-    groups = linked_groups(bands(reps), verify, "near", pivots=1, far=far, centres=centres, near=f"100 * least(sa, sb) >= {percent} * greatest(sa, sb)")
-    out = classes.join(groups.select(F.col("node").alias("rep"), "comp"), "rep", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    groups = _linked(reps, verify, lambda x: _far_pairs(x, both(x), k, percent), lambda x: _centres(x, both(x), k))
+    out = classes.join(groups.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
+    if not repeated.isEmpty():
+        out = out.join(small(repeated), "doc_id", "left").withColumn("_", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1)).cast("int")))).select("doc_id", "n_shingles", "component_id")
+    nameless = sketch(rows.where("doc_id is null"), k).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return out.union(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -279,4 +316,6 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     if repeated.isEmpty():
         return rest
     repeated = small(repeated)
-    return rest.join(repeated, "doc_id", "left_anti").unionByName(rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+    one = rest.join(repeated, "doc_id", "left_semi").withColumn("__first", first).where("__first = 1").select(docs.columns)
+    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)

@@ -34,7 +34,7 @@ def arrow_limits(spark: SparkSession) -> None:
     """Bound what an Arrow batch of this session holds, so that a Python worker's memory doesn't follow the length of texts; less stays as it is."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key, "0").lower().removesuffix("b")
+        now = spark.conf.get(key).lower().removesuffix("b")
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 

@@ -1,15 +1,15 @@
 """Gated recurrent language model with a class-factored softmax, beside corpus counts of every token.
 
 Counts: one pass over the training texts gives the count of every distinct token, so what is gathered
-grows with the corpus. Model: the commonest MODEL_WORDS tokens, in classes of CLASS_SIZE by rank, and one more
-class for all rarer ones; within that class a token has probability (c+1) / (N_rare + V_rare + 1), so
-unseen tokens have their share. It is trained in numpy by backpropagation through WINDOW tokens at a time, with
-the state carried on from window to window: first over a sample of at most TRAIN_TOKENS tokens, for a start, then once over
-every training text. For that, texts are dealt to ROUNDS rounds by hash; in a round each task trains a copy on all of its
-texts, and the copies are averaged by their tokens for the next. Scoring reads whole texts in windows, the state carried
-over. Results depend on how the texts are split into tasks.
-
-The commonest COUNTED tokens' counts travel to the tasks (a fixed size); every other token of a text is joined
+grows with the corpus. Model: the commonest MODEL_WORDS tokens, ranked, class k holding the ranks from k * k on (common words
+stand in small classes), and one more class for all rarer ones; within that class a token has probability
+(c+1) / (N_rare + V_rare + 1), so unseen tokens have their share. It is trained in numpy by backpropagation through WINDOW
+tokens at a time, with the state carried on from window to window: first over pieces of START_CHARS characters from hashed
+positions of START_DOCS texts, for a start, then once over every training text. For that, texts are dealt to ROUNDS rounds by hash;
+in a round each task trains a copy on all of its texts, and the copies are averaged by their tokens for the next. Scoring reads
+whole texts in windows, the state carried over. Results depend on how the texts are split into tasks.
+
+About COUNTED of the commonest tokens' counts travel to the tasks (a fixed size); every other token of a text is joined
 with the counts table. Hashes of 64 bits stand for tokens.
 
 Cases: null, empty and blank texts are the end token alone. Repeated rows give repeated rows. No training texts:
@@ -30,34 +30,58 @@ from .common import arrow_limits, crc_mod, cut
 from .gru import Adam, backward, forward, init
 from .words import Lookup, hashes
 
-MODEL_WORDS, CLASS_SIZE, COUNTED = 4095, 64, 1 << 19
-HIDDEN, WINDOW, STREAMS, TRAIN_TOKENS, TRAIN_DOCS, EPOCHS = 24, 16, 48, 400_000, 1200, 3
-ROUNDS, SHARD_STREAMS, SHARD_RATE, PIECES = 2, 192, 0.002, 64
+MODEL_WORDS, COUNTED, HELD = 4095, 1 << 19, 1 << 20
+HIDDEN, WINDOW, STREAMS, START_DOCS, START_CHARS, EPOCHS = 24, 16, 48, 1200, 2400, 3
+ROUNDS, SHARD_STREAMS, SHARD_RATE, PIECES, ROWS, MOST = 2, 384, 0.003, 64, 4096, np.float32(60)
 END = np.uint64(0x5851F42D4C957F2D)
 LOG10 = float(np.log(10.0))
 
 
 def token_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token, n) of all texts: hashes of words, and END once a text."""
+    """(token, n) of all texts: hashes of words, and END once a text. A task adds up to about HELD tokens before it sends them on."""
     arrow_limits(texts.sparkSession)
 
+    def packed(token: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
             h, at = hashes(batch.column(0))
             token, n = np.unique(h, return_counts=True)
-            token, n = np.append(token, END), np.append(n, len(at) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], names=["token", "n"])
+            held.append((np.append(token, END), np.append(n, len(at) - 1)))
+            count += len(token) + 1
+            if count > HELD:
+                held = [_added(held)]
+                count = len(held[0][0])
+            if count > HELD:
+                yield packed(*held.pop())
+                count = 0
+        if held:
+            yield packed(*_added(held))
 
     return texts.select(text_col).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens of (tokens, counts) and their sums."""
+    token, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(token)
+    token, n = token[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    return token[first], np.add.reduceat(n, first)
+
+
 class Model:
     """Embeddings, recurrent layer and output classes; ids: 0 is END, 1.. the words by rank, the last is any rarer one."""
 
     def __init__(self, words: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.words = words  # with END
-        self.classes = -(-words // CLASS_SIZE) + 1
+        ids = np.arange(words + 1)
+        self.cls = np.floor(np.sqrt(ids)).astype(np.int16)
+        self.classes = int(self.cls[words - 1]) + 2
+        self.cls[words] = self.classes - 1
         self.p = {
             "x": init(rng, words + 1, 3 * HIDDEN, scale=0.1), "u": init(rng, HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, dtype=np.float32),
             "c": init(rng, HIDDEN, self.classes, scale=0.05), "cb": np.zeros(self.classes, dtype=np.float32),
@@ -68,46 +92,56 @@ class Model:
         """Biases from the counts of the words, END first, and of all rarer tokens."""
         n = n.astype(np.float64) + 1
         self.p["wb"][:] = np.log(n)
-        by_class = np.add.reduceat(n, np.arange(0, len(n), CLASS_SIZE))
+        by_class = np.add.reduceat(n, np.arange(self.classes - 1) ** 2)
         self.p["cb"][:] = np.log(np.append(by_class, rare + 1) / (n.sum() + rare + 1))
 
     def output(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None):
         """Natural log probabilities of ids y after states h; with grads: adds to them and gives the states' gradient."""
-        p = self.p
-        cls = np.minimum(y // CLASS_SIZE, self.classes - 1)
-        cls[y == self.words] = self.classes - 1
-        logit = h @ p["c"] + p["cb"]
-        logit -= logit.max(axis=1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(axis=1)
-        rows = np.arange(len(y))
-        out = (logit[rows, cls] - np.log(total)).astype(np.float64)
+        out, dh = np.empty(len(y)), np.empty_like(h) if grads is not None else None
+        for lo in range(0, len(y), ROWS):
+            some = slice(lo, lo + ROWS)
+            order = np.argsort(self.cls[y[some]], kind="stable")
+            got, back = self._sorted(h[some][order], y[some][order], grads)
+            out[lo + order] = got
+            if grads is not None:
+                dh[lo + order] = back
+        return (out, dh) if grads is not None else out
+
+    def _sorted(self, h: np.ndarray, y: np.ndarray, grads: dict | None):
+        """output() for rows in the order of their classes."""
+        p, cls, rows = self.p, self.cls[y], np.arange(len(y))
+        e = np.minimum(h @ p["c"] + p["cb"], MOST)
+        out = e[rows, cls].astype(np.float64)
+        np.exp(e, out=e)
+        total = e @ np.ones(self.classes, dtype=np.float32)
+        out -= np.log(total)
+        bound = np.searchsorted(cls, np.arange(self.classes + 1))
+        dh = None
         if grads is not None:
-            d = -e / total[:, None]
-            d[rows, cls] += 1
-            grads["c"] += h.T @ d
-            grads["cb"] += d.sum(axis=0)
-            dh = d @ p["c"].T
-        order = np.argsort(cls, kind="stable")
-        bound = np.searchsorted(cls[order], np.arange(self.classes))
-        for k in range(self.classes - 1):
-            own = order[bound[k] : bound[k + 1]]
-            if not len(own):
+            inverse = 1 / total
+            dh = p["c"].T[cls] - (e @ p["c"].T) * inverse[:, None]
+            grads["c"] -= (h * inverse[:, None]).T @ e
+            grads["cb"] += np.diff(bound) - inverse @ e
+            there = np.flatnonzero(np.diff(bound))
+            grads["c"][:, there] += np.add.reduceat(h, bound[there], axis=0).T
+        for k in range(1, self.classes - 1):  # the first class is END alone, the last is told apart by counts
+            a, b = bound[k], bound[k + 1]
+            lo, hi = k * k, min((k + 1) * (k + 1), self.words)
+            if a == b or hi - lo < 2:
                 continue
-            lo, hi = k * CLASS_SIZE, min((k + 1) * CLASS_SIZE, self.words)
-            logit = h[own] @ p["w"][lo:hi].T + p["wb"][lo:hi]
-            logit -= logit.max(axis=1, keepdims=True)
-            e = np.exp(logit)
-            total = e.sum(axis=1)
-            rows = np.arange(len(own))
-            out[own] += logit[rows, y[own] - lo] - np.log(total)
+            w, own, at = p["w"][lo:hi], h[a:b], (rows[: b - a], y[a:b] - lo)
+            e = np.minimum(own @ w.T + p["wb"][lo:hi], MOST)
+            chosen = e[at]
+            np.exp(e, out=e)
+            total = e @ np.ones(hi - lo, dtype=np.float32)
+            out[a:b] += chosen - np.log(total)
             if grads is not None:
-                d = -e / total[:, None]
-                d[rows, y[own] - lo] += 1
-                grads["w"][lo:hi] += d.T @ h[own]
-                grads["wb"][lo:hi] += d.sum(axis=0)
-                dh[own] += d @ p["w"][lo:hi]
-        return (out, dh) if grads is not None else out
+                e *= (-1 / total)[:, None]
+                e[at] += 1
+                grads["w"][lo:hi] += e.T @ own
+                grads["wb"][lo:hi] += e.sum(axis=0)
+                dh[a:b] += e @ w
+        return out, dh
 
     def train(self, ids: np.ndarray) -> None:
         """Over one long sequence of texts, each closed by END, dealt to STREAMS readers."""
@@ -133,12 +167,14 @@ class Model:
         for t in range(0, len(x), WINDOW):
             xs, ys = x[t : t + WINDOW], y[t : t + WINDOW]
             grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-            mask = None
             h[xs[0] == 0] = 0  # a new text starts from nothing
-            states, tape = forward(self.p["x"][xs] + self.p["b"], self.p["u"], h, mask, keep=True)
+            states, tape = forward(self.p["x"][xs] + self.p["b"], self.p["u"], h, keep=True)
             _, dh = self.output(states.reshape(-1, HIDDEN), ys.ravel(), grads)
             dx, grads["u"] = backward(dh.reshape(states.shape).astype(np.float32), tape, self.p["u"])
-            np.add.at(grads["x"], xs, dx)
+            flat, order = dx.reshape(-1, dx.shape[2]), np.argsort(xs, axis=None, kind="stable")
+            ids = xs.ravel()[order]
+            first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            grads["x"][ids[first]] = np.add.reduceat(flat[order], first, axis=0)
             grads["b"] += dx.sum(axis=(0, 1))
             scale = -1.0 / xs.size
             adam.step({k: g * np.float32(scale) for k, g in grads.items()})
@@ -230,6 +266,26 @@ def trained(texts: DataFrame, model: Model, keys: np.ndarray) -> int:
     return rows[0].n
 
 
+def _commonest(counts: DataFrame) -> DataFrame:
+    """The tokens of the greatest counts, COUNTED of them at most; of the count that isn't reached whole, a share by hash."""
+    have = 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("n")).toLocalIterator():  # there are few unlike counts
+        if have + r.v > COUNTED:
+            share = (COUNTED - have) / r.v
+            return counts.where((F.col("n") > r.n) | ((F.col("n") == r.n) & (F.pmod(F.xxhash64("token"), F.lit(1 << 20)) < int(share * (1 << 20)))))
+        have += r.v
+    return counts
+
+
+def _pieces(training: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(text): START_CHARS characters, or a few less so that words are whole, from a hashed position of each of START_DOCS texts."""
+    n, text = F.length(text_col), F.col(text_col)
+    at = F.pmod(F.xxhash64(id_col, text_col, F.lit(2)), F.greatest(n - START_CHARS + 1, F.lit(1))).cast("int") + 1
+    some = training.where(n > 0).select(F.xxhash64(id_col, text_col).alias("_o"), (n > START_CHARS).alias("_cut"), F.substring(text, at, F.lit(START_CHARS)).alias("text"))
+    white = "\\x20\\x09-\\x0D"
+    return some.orderBy("_o", "text").limit(START_DOCS).select(F.when(F.col("_cut"), F.regexp_replace("text", f"^[^{white}]*[{white}]|[{white}][^{white}]*$", "")).otherwise(F.col("text")).alias("text"))
+
+
 def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score, a row a text of docs, learning from ``training``."""
     spark = docs.sparkSession
@@ -237,16 +293,17 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     counts = cut(token_counts(training, text_col), "counts")
     end = F.col("token") == int(END.view(np.int64))
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.sum(F.when(end, F.col("n"))), F.lit(0)).alias("end")).first()
-    head = counts.where(~end).orderBy(F.desc("n"), "token").limit(COUNTED).toArrow()  # a fixed number of tokens
+    head = _commonest(counts.where(~end)).toArrow()  # about COUNTED tokens
     keys, c = head.column("token").to_numpy().astype(np.int64).view(np.uint64), head.column("n").to_numpy().astype(np.int64)
+    order = np.lexsort((keys.view(np.int64), -c))
+    keys, c = keys[order], c[order]
     words = min(MODEL_WORDS, len(keys)) + 1
     n_rare, v_rare = int(whole.n) - int(whole.end) - int(c[: words - 1].sum()), max(0, int(whole.v) - words)
 
     model = Model(words)
     model.start(np.concatenate(([int(whole.end)], c[: words - 1])), n_rare)
-    sample = training.select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("_o")).where("length(text) > 0").orderBy("_o").limit(TRAIN_DOCS)
-    _, _, ids, _ = _ids(sample.select("text").toArrow().column(0), Lookup(keys[: words - 1]), words)
-    model.train(ids[:TRAIN_TOKENS])  # a start for the rounds over all texts
+    _, _, ids, _ = _ids(_pieces(training, id_col, text_col).toArrow().column(0), Lookup(keys[: words - 1]), words)
+    model.train(ids)  # a start for the rounds over all texts
     for k in range(ROUNDS):
         trained(training.where(F.pmod(F.xxhash64(id_col, text_col, F.lit(1)), F.lit(ROUNDS)) == k).select(F.col(text_col).alias("text")), model, keys[: words - 1])
 

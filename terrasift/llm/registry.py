@@ -16,7 +16,7 @@ def op1_tool_calls(spark, sf_dir):
 
 
 def op2_golden_mix(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op3_fuzzy_lines(spark, sf_dir):
@@ -57,18 +57,24 @@ def queries():
 
 
 _OP1 = """
-WITH t AS (SELECT conv_id, turn, role, text FROM conversations),
-calls AS (SELECT conv_id, conv_id || '-' || turn AS call_id, turn, text FROM t WHERE role = 'user'),
+WITH RECURSIVE t AS (SELECT conv_id, turn, role, text FROM conversations),
+ones AS (SELECT conv_id, conv_id || '-' || turn AS call_id, turn, 0 AS idx, text, CASE turn % 8 WHEN 0 THEN [conv_id || '-' || (turn + 4)] WHEN 2 THEN [conv_id || '-' || (turn - 2)]
+  WHEN 6 THEN [conv_id || '-' || (turn - 2), conv_id || '-' || (turn - 4)] WHEN 4 THEN CASE WHEN conv_id % 5 = 0 THEN [conv_id || '-' || (turn - 2)] ELSE [] END ELSE [] END AS deps FROM t WHERE role = 'user'),
+calls AS (SELECT * FROM ones UNION ALL SELECT conv_id, call_id || 'b', turn, 1, text, [call_id] FROM ones WHERE turn % 8 = 2),
+e AS (SELECT c.call_id AS a, d.call_id AS b FROM (SELECT call_id, unnest(deps) AS dep FROM calls) c JOIN calls d ON c.dep = d.call_id),
+walk AS (SELECT a AS src, b AS node FROM e UNION SELECT w.src, e.b FROM walk w JOIN e ON w.node = e.a),
+ring AS (SELECT DISTINCT src FROM walk WHERE src = node),
+path AS (SELECT call_id AS src, call_id AS node, 0 AS len FROM calls UNION SELECT p.src, e.b, p.len + 1 FROM path p JOIN e ON p.node = e.a WHERE p.node NOT IN (SELECT src FROM ring)),
+place AS (SELECT p.src, max([CAST(c.turn AS BIGINT), CAST(c.idx AS BIGINT), CAST(p.len AS BIGINT)]) AS k FROM path p JOIN calls c ON p.node = c.call_id GROUP BY p.src),
+placed AS (SELECT c.*, k[1] AS place_turn, k[2] AS place_index, k[3] AS hops, c.call_id IN (SELECT src FROM ring) AS cycle FROM calls c JOIN place ON c.call_id = place.src),
 results AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, min(turn) AS turn, arg_min(text, (turn, text)) AS content FROM t WHERE role = 'assistant' GROUP BY 1, 2)
 SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
-  CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-  c.turn AS place_turn, CASE WHEN c.call_id IS NOT NULL THEN CAST(0 AS BIGINT) END AS place_index,
-  CASE WHEN c.call_id IS NOT NULL THEN CAST(0 AS BIGINT) END AS hops, CASE WHEN c.call_id IS NOT NULL THEN false END AS cycle,
+  CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status, place_turn, place_index, hops, cycle,
   CASE WHEN c.call_id IS NOT NULL THEN length(coalesce(c.text, '')) >= 1 END AS valid,
   md5('{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '{"prompt":' || CAST(to_json(coalesce(c.text, '')) AS VARCHAR) || ',"turn":' || c.turn || '}' END
     || ',"id":' || CAST(to_json(coalesce(c.call_id, r.call_id)) AS VARCHAR) || ',"name":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '"reply"' END
     || ',"result":' || CASE WHEN r.call_id IS NULL THEN 'null' ELSE CAST(to_json(r.content) AS VARCHAR) END || '}') AS json_md5
-FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+FROM placed c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 """
 
 _OP2 = r"""
@@ -77,13 +83,23 @@ src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OV
 w AS (SELECT *, CASE (k - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, 2.0::DOUBLE * source_size AS bound FROM src),
 lv AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(bound) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
   FROM w WINDOW before AS (ORDER BY bound / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-goals AS (SELECT source, source_size, CASE WHEN level * weight >= bound THEN bound ELSE weight * max(CASE WHEN level * weight < bound THEN level END) OVER () END AS target FROM lv),
-g AS (SELECT *, CAST(floor(target) AS BIGINT) AS goal FROM goals),
-laid AS (SELECT *, coalesce(CAST(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start FROM sized)
+goals AS (SELECT k, source, source_size, CASE WHEN level * weight >= bound THEN bound ELSE weight * max(CASE WHEN level * weight < bound THEN level END) OVER () END AS target FROM lv),
+g AS (SELECT *, CAST(floor(target) AS BIGINT) AS goal, CAST(ceil(source_size / 4096.0e0) AS BIGINT) AS blocks FROM goals),
+n AS (SELECT *, (goal // source_size) * blocks + CAST(ceil((goal % source_size) / 4096.0e0) AS BIGINT) AS need, coalesce(sum(target) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0e0) AS lo FROM g WHERE target > 0),
+whole AS (SELECT CAST(sum(need) AS BIGINT) AS slots, max(lo + target) AS top FROM n),
+points AS (SELECT id, ((id + 1) * GOLDEN - floor((id + 1) * GOLDEN)) * top AS u FROM (SELECT unnest(range(slots)) AS id, top FROM whole)),
+drawn AS (SELECT k, id AS slot, row_number() OVER (PARTITION BY k ORDER BY id) - 1 AS rank FROM points JOIN n ON u >= lo AND u < lo + target),
+short AS (SELECT n.k, need - coalesce(c, 0) AS more, coalesce(c, 0) AS c FROM n LEFT JOIN (SELECT k, count(*) AS c FROM drawn GROUP BY k) d ON n.k = d.k WHERE need > coalesce(c, 0)),
+closing AS (SELECT k, slots + coalesce(sum(more) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first, c, unnest(range(more)) AS j FROM short, whole),
+every_ AS (SELECT k, slot, rank FROM drawn UNION ALL SELECT k, first + j, c + j FROM closing),
+turns AS (SELECT n.k, slot, (rank % blocks) * 4096 AS b, least(4096, source_size - (rank % blocks) * 4096, goal - (rank // blocks) * source_size - (rank % blocks) * 4096) AS words FROM every_ JOIN n ON every_.k = n.k WHERE rank < need),
+laid AS (SELECT sized.*, g.* EXCLUDE (source), coalesce(CAST(sum(size) OVER (PARTITION BY sized.source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start
+  FROM sized JOIN g ON sized.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, floor(target * 1e6 + 0.5) / 1e6 AS target,
-  CAST(CASE WHEN source_size = 0 THEN 0 ELSE (goal // source_size) * size + greatest(0, least(start + size, goal % source_size) - start) END AS BIGINT) AS taken
-FROM laid JOIN g ON laid.source IS NOT DISTINCT FROM g.source
-"""
+  CAST(CASE WHEN source_size = 0 THEN 0 ELSE (goal // source_size) * size + greatest(0, least(start + size, goal % source_size) - start) END AS BIGINT) AS taken,
+  (SELECT CAST(min(slot) AS BIGINT) FROM turns WHERE turns.k = laid.k AND greatest(start, b) < least(start + size, b + words)) AS first_slot
+FROM laid
+""".replace("GOLDEN", f"{mixing.GOLDEN!r}e0")
 
 _STOPS = ", ".join("'" + w + "'" for w in rules.STOP_WORDS)
 _OP10 = rf"""

@@ -5,7 +5,7 @@ base), and ratios of symbols, stop words, short lines and repeated lines. A rule
 values that pass; ``compile_rules`` turns the table into one boolean expression. Nothing is shuffled.
 
 Repeated windows: each window's 64-bit hash, less as many low bits as its number takes, carries that number; the sorted
-longs put equal windows side by side.
+longs put windows that may be equal side by side. Of those, the words are compared: sorted by their words, equal ones meet.
 
 Cases: null texts have no words; empty and blank ones too: all measures are 0 and base_failed is true. Repeated rows give
 repeated rows. Texts of any length are read whole.
@@ -51,12 +51,13 @@ def _repeated(words: Column, n: Column) -> Column:
 
         low = F.expr("1L")
         packed = F.array_sort(F.transform(F.sequence(F.lit(0), (n - 3).cast("int")), lambda i: F.call_function("shiftleft", F.call_function("shiftrightunsigned", number(i), b), b).bitwiseOR(i.cast("long"))))
+        side_by_side = lambda xs, of: F.filter(xs, lambda x, j: ((j > 0) & (of(F.get(xs, j - 1)) == of(x))) | F.coalesce(of(F.get(xs, j + 1)) == of(x), F.lit(False)))
 
         def marked(k: Column) -> Column:
-            top = lambda x: F.call_function("shiftrightunsigned", x, b)
-            again = F.filter(k, lambda x, j: ((j > 0) & (top(F.get(k, j - 1)) == top(x))) | F.coalesce(top(F.get(k, j + 1)) == top(x), F.lit(False)))
-            at = F.transform(again, lambda x: x.bitwiseAND(F.call_function("shiftleft", low, b) - 1))
-            return F.size(F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(i, i + 1, i + 2)))))
+            maybe = side_by_side(k, lambda x: F.call_function("shiftrightunsigned", x, b))
+            at = F.transform(maybe, lambda x: x.bitwiseAND(F.call_function("shiftleft", low, b) - 1).cast("int"))
+            said = F.array_sort(F.transform(at, lambda i: F.struct(F.concat_ws(" ", *[F.get(words, i + j) for j in range(3)]).alias("said"), i.alias("i"))))
+            return _let(said, lambda s: F.size(F.array_distinct(F.flatten(F.transform(side_by_side(s, lambda x: x["said"]), lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))))
 
         return _let(packed, marked)
 

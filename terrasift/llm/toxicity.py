@@ -3,8 +3,9 @@
 A word's input is its own vector (words of the vocabulary) beside the mean of its byte-trigram vectors (all words,
 so that changed spellings are seen). Texts are read whole, in windows of WINDOW words that overlap by OVERLAP; each
 window is read in both directions, pooled by attention into one logit, and a text's score is that of its most toxic
-window. Training is in numpy, on the driver, over at most TRAIN_TOXIC toxic and TRAIN_CLEAN other labelled rows, taken in
-the order of a hash: clean texts give windows that are all clean, a toxic text its window that is most toxic so far.
+window. Training is in numpy, on the driver, over at most TRAIN_TOXIC toxic and TRAIN_CLEAN other labelled rows of at most TRAIN_CHARS
+characters, taken in the order of a hash, for STEPS batches of BATCH windows however many they are: clean texts give windows that are all
+clean, a toxic text its window that is most toxic so far.
 
 Cases: null, empty texts and texts without a letter or digit have one empty window and get its score. Labels other than
 0 and 1 and null ones are left out; without labels of both kinds the score is the share of toxic ones (0 without any).
@@ -20,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, crc_mod, small
+from .common import arrow_limits, crc_mod
 from .gru import Adam, backward, forward, init, sigmoid
 from .words import _VALUE, ALNUM, Lookup, buffers, mix, pieces, spans
 
 WINDOW, OVERLAP, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS = 32, 8, 8, 8, 8, 2048
-VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, STEPS, BATCH = 20_000, 1200, 2400, 10, 400, 256
+VOCABULARY, TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, STEPS, BATCH = 20_000, 1200, 2400, 20_000, 600, 256
 
 
 def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -191,17 +192,20 @@ def train(texts: pa.Array, y: np.ndarray) -> Network:
     hint[known] = lean[known]
     sums = np.concatenate(([0.0], np.cumsum(np.maximum(0, hint[number] - 1))))
     value = sums[first + length] - sums[first]
-    epochs = max(EPOCHS, min(80, STEPS * BATCH // (4 * len(y))))  # a small sample is read more often
-    for epoch in range(epochs):
-        adam.rate = 0.01 * (1 - epoch / (epochs + 1))
+    done = 0
+    while done < STEPS:
         order = np.lexsort((-value, text))
         rank = np.arange(len(text)) - np.searchsorted(text, text)  # windows stand in the order of texts
         clean = np.flatnonzero(y[text] == 0)
         some = rng.permutation(np.concatenate((order[rank < 1 + (y[text] == 0)], rng.permutation(clean)[: 3 * len(y)])))
         for lo in range(0, len(some), BATCH):
+            if done == STEPS:
+                break
             own = some[lo : lo + BATCH]
             ids, mask = net.slots(number, first[own], length[own], len(key))
             goal = y[text[own]].astype(np.float32)
+            adam.rate = 0.01 * (1 - done / (STEPS + 1))
+            done += 1
             adam.step(net.gradients(place, grams, starts, ids, mask, goal, np.where(goal > 0, 2.0, 1.0)))
         x = net.inputs(place, grams, starts)
         tables = {d: x @ net.p[f"x{d}"] + net.p[f"b{d}"] for d in "fb"}
@@ -210,11 +214,12 @@ def train(texts: pa.Array, y: np.ndarray) -> Network:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[pa.Array, np.ndarray]:
-    """At most TRAIN_TOXIC and TRAIN_CLEAN labelled texts, the first in the order of a hash of the id."""
-    chosen = labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("o"))
-    parts = [chosen.where(F.col("y") == y).orderBy("o", "doc_id").limit(n) for y, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
-    rows = docs.select("doc_id", "text").join(small(parts[0].union(parts[1])), "doc_id").select("text", "y", "o", "doc_id").toArrow()
-    rows = rows.sort_by([("y", "ascending"), ("o", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+    """At most TRAIN_TOXIC and TRAIN_CLEAN labelled texts of at most TRAIN_CHARS characters, the first in the order of a hash of the id."""
+    known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
+    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS).select("doc_id", F.col("text").alias("text"))
+    rows = short.join(known, "doc_id").withColumn("o", F.xxhash64("doc_id")).select("text", "y", "o", "doc_id")
+    parts = [rows.where(F.col("y") == y).orderBy("o", "doc_id", "text").limit(n).toArrow() for y, n in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC))]
+    rows = pa.concat_tables(parts).sort_by([(c, "ascending") for c in ("y", "o", "doc_id", "text")])
     return rows.column("text").combine_chunks(), rows.column("y").to_numpy().astype(np.int64)
 
 

@@ -5,19 +5,28 @@ Stages take (spark, docs, sf_dir) and give the columns of documents; the last gi
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from terrasift.llm import decontaminate, line_dedup, minhash, mixing, quality_model
 from terrasift.llm.common import cut, cut_mark, cut_release, small, table
 
-_mark = [0]
+
+class _Mark(threading.local):
+    """From where on this thread's tables are those of the stage that runs."""
+
+    at = 0
+
+
+_mark = _Mark()
 
 
 def _begin(spark: SparkSession) -> None:
     """Forget the tables that the stage before has written for itself; its result is written by now."""
     end = cut_mark()
-    cut_release(spark, _mark[0], end)
-    _mark[0] = end
+    cut_release(spark, _mark.at, end)
+    _mark.at = end
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +70,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each result written and read again."""
     docs = table(spark, sf_dir, "documents")
-    _mark[0] = cut_mark()
+    _mark.at = cut_mark()
     kept = None
     for name, stage in STAGES:
         made = stage(spark, docs, sf_dir)
@@ -69,7 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return made
         written = cut(made, "stage-" + name.replace(" ", "-"))
         at = cut_mark()
-        cut_release(spark, _mark[0], at - 1)
+        cut_release(spark, _mark.at, at - 1)
         if kept is not None:
             cut_release(spark, kept, kept + 1)
-        docs, kept, _mark[0] = written, at - 1, at
+        docs, kept, _mark.at = written, at - 1, at

@@ -7,9 +7,11 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ranking
+
 #: Rows up to which a two- or three-column side may be broadcast (about 24 bytes a row); beyond it the join shuffles.
 BROADCAST_ROWS = 400_000
 #: Arrow batches: bytes and records that one Python worker holds at a time.
@@ -76,19 +78,8 @@ def cut_release(spark: SparkSession, since: int = 0, until: int | None = None) -
 
 
 def running(df: DataFrame, order: list[Column], sums: dict[str, str], label: str = "running") -> DataFrame:
-    """df with ``at``, the number of rows before each in this order, and for each out: column of ``sums`` the column's sum over them.
-
-    Rows are sorted over all tasks and written with the number of their task; windows run within tasks, and one row of sums
-    for each task gives what lies before it. So no window holds all rows, nor all those of a common value.
-    """
-    rows = cut(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), label)
-    each = {"at": F.count(F.lit(1))} | {out: F.sum(c) for out, c in sums.items()}
-    before, own = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    total = rows.groupBy(F.col("_part").alias("_p")).agg(*[x.alias(f"_t_{out}") for out, x in each.items()])
-    shifts = total.select("_p", *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_s_{out}") for out in each])
-    inner = rows.select("*", *[F.coalesce(x.over(own), F.lit(0)).alias(f"_o_{out}") for out, x in each.items()])
-    joined = inner.join(F.broadcast(shifts), F.col("_part") == F.col("_p"))  # a row for each task
-    return joined.select(*df.columns, *[(F.col(f"_s_{out}") + F.col(f"_o_{out}")).alias(out) for out in each])
+    """df with ``at``, the number of rows before each, and sums over them: operators.ranking.running() on cut tables."""
+    return ranking.running(df, order, sums, write=cut, label=label)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -145,7 +136,7 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
 
 
 def shared_members(buckets: DataFrame, label: str) -> DataFrame:
-    """(bucket, node, lo, n): the nodes of buckets (bucket, node) that hold unlike ones, the least of them and the bucket's rows."""
+    """(bucket, node, lo, n): the distinct nodes of buckets (bucket, node) that hold unlike ones, the least of them and the bucket's rows."""
     sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").drop("hi")
     return cut(buckets.join(sized, "bucket").distinct(), f"{label}-members")
 

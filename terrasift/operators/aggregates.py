@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import running
+
 
 def value_counts(df: DataFrame, name: str, nulls: bool = False) -> DataFrame:
     rows = df if nulls else df.where(F.col(name).isNotNull())
@@ -32,12 +34,26 @@ def fixed_bins(x: Column, edges: list[float]) -> Column:
 
 
 def quantiles(df: DataFrame, name: str, at: list[float]) -> DataFrame:
-    """One row: q of each probability, exact, by linear interpolation."""
-    return df.agg(*[F.percentile(name, q).alias(f"q{round(q * 100)}") for q in at])
+    """One row: q of each probability, exact, by linear interpolation over the values that aren't null or NaN (null if there are none).
+
+    Distinct values are counted and their counts summed up in order over all tasks, so no task holds all rows.
+    """
+    value = F.col(name).cast("double")
+    counts = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running(counts, [F.col("_v")], {"_before": "_n"}, "_at")
+    total = counts.agg(F.sum("_n").alias("_all"))
+    every = placed.crossJoin(F.broadcast(total))  # one row
+    place = lambda q: (F.col("_all") - 1) * q
+    held = lambda k: F.max(F.when((F.col("_before") <= k) & (k < F.col("_before") + F.col("_n")), F.col("_v")))
+    ends = every.agg(F.max("_all").alias("_all"), *[held(f(place(q))).alias(f"_{side}{k}") for k, q in enumerate(at) for side, f in (("l", F.floor), ("h", F.ceil))])
+    share = lambda q: place(q) - F.floor(place(q))
+    return ends.select(*[(F.col(f"_l{k}") + (F.col(f"_h{k}") - F.col(f"_l{k}")) * share(q)).alias(f"q{round(q * 100)}") for k, q in enumerate(at)])
 
 
 def describe(df: DataFrame, name: str, at: list[float]) -> DataFrame:
-    return df.agg(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"), F.min(name).alias("min"), *[F.percentile(name, q).alias(f"q{round(q * 100)}") for q in at], F.max(name).alias("max"))
+    one = df.agg(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"), F.min(name).alias("min"), F.max(name).alias("max"))
+    q = quantiles(df, name, at)
+    return one.crossJoin(F.broadcast(q)).select("n", "mean", "std", "min", *q.columns, "max")  # one row each
 
 
 def share(test: Column) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first n rows of each group, ranked from 1."""
@@ -25,17 +29,25 @@ def by_priority(frames: list[DataFrame], keys: list[str], tie: list[str]) -> Dat
     return best(every, keys, [F.col("_prio"), *map(F.col, tie)]).drop("_prio")
 
 
-def global_rank(df: DataFrame, major: Column, order: list[Column], name: str = "rank") -> DataFrame:
-    """Ranks from 0 over all rows, in two levels: ``major`` is an integer that doesn't rise along ``order``.
+def running(df: DataFrame, order: list[Column], sums: dict[str, str], at: str = "at", write: Callable[[DataFrame, str], DataFrame] = written, label: str = "running") -> DataFrame:
+    """df with ``at``, the number of rows before each in this order, and for each out: column of ``sums`` the column's sum over them.
 
-    Groups of one major value are ranked apart and shifted by the sizes of the groups before, of which there must be few.
+    Rows are sorted over all tasks and written with the number of their task; windows run within tasks, and one row of sums
+    for each task gives what lies before it. So no window holds all rows, nor all those of a common value.
     """
-    rows = df.withColumn("_m", major)
-    sizes = rows.groupBy("_m").count()
-    before = Window.orderBy(F.desc("_m")).rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(F.col("_m").alias("_k"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_s"))
-    own = Window.partitionBy("_m").orderBy(*order)
-    return rows.withColumn("_r", F.row_number().over(own) - 1).join(F.broadcast(shift), F.col("_m") == F.col("_k")).withColumn(name, F.col("_s") + F.col("_r")).drop("_m", "_k", "_s", "_r")
+    rows = write(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), label)
+    each = {at: F.count(F.lit(1))} | {out: F.sum(c) for out, c in sums.items()}
+    before, own = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    total = rows.groupBy(F.col("_part").alias("_p")).agg(*[x.alias(f"_t_{out}") for out, x in each.items()])
+    shifts = total.select("_p", *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_s_{out}") for out in each])
+    inner = rows.select("*", *[F.coalesce(x.over(own), F.lit(0)).alias(f"_o_{out}") for out, x in each.items()])
+    joined = inner.join(F.broadcast(shifts), F.col("_part") == F.col("_p"))  # a row for each task
+    return joined.select(*df.columns, *[(F.col(f"_s_{out}") + F.col(f"_o_{out}")).alias(out) for out in each])
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Ranks from 0 over all rows; ``order`` should tell all rows apart."""
+    return running(df, order, {}, name)
 
 
 def fill_gaps(labels: DataFrame, key: str, year: str, label: str) -> DataFrame:

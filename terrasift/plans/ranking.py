@@ -45,7 +45,7 @@ def _(t):
 
 @query("w06_global_rank", sql("t", f"SELECT id, 'c_' || lpad(CAST(row_number() OVER (ORDER BY prob DESC, id) - 1 AS VARCHAR), 7, '0') AS candidate_id FROM t WHERE {GOOD}"))
 def _(t):
-    ranked = R.global_rank(t.tiles().where(at_least("prob", 0.0)), F.floor(F.col("prob") * 1000 + 0.5).cast("long"), [F.desc("prob"), F.col("id")])
+    ranked = R.global_rank(t.tiles().where(at_least("prob", 0.0)), [F.desc("prob"), F.col("id")])
     return ranked.select("id", F.concat(F.lit("c_"), F.lpad(F.col("rank").cast("string"), 7, "0")).alias("candidate_id"))
 
 
@@ -70,25 +70,24 @@ def _(t):
 @query("w10_locality_chunks", sql("b", "SELECT id, (row_number() OVER (ORDER BY CAST(floor(lat * 10) AS BIGINT), lon, id) - 1) // 256 AS chunk FROM b"))
 def _(t):
     b = t.buildings().withColumn("_y", F.floor(F.col("lat") * 10).cast("long"))
-    ranked = R.global_rank(b, -F.col("_y"), [F.col("_y"), F.col("lon"), F.col("id")])
+    ranked = R.global_rank(b, [F.col("_y"), F.col("lon"), F.col("id")])
     return ranked.select("id", F.floor(F.col("rank") / 256).cast("long").alias("chunk"))
 
 
 @query("w11_resequence", sql("t", "SELECT id, row_number() OVER (ORDER BY shard, id) - 1 AS row_idx FROM t"))
 def _(t):
-    return R.global_rank(t.tiles(), -F.col("shard"), [F.col("id")], "row_idx").select("id", F.col("row_idx").cast("long").alias("row_idx"))
+    return R.global_rank(t.tiles(), [F.col("shard"), F.col("id")], "row_idx").select("id", F.col("row_idx").cast("long").alias("row_idx"))
 
 
 @query("w12_modulo_shard", sql("b", "SELECT id FROM (SELECT id, row_number() OVER (ORDER BY lat, id) - 1 AS r FROM b) WHERE r % 5 = 2"))
 def _(t):
-    y = F.floor(F.col("lat") * 10).cast("long")
-    return R.global_rank(t.buildings(), -y, [F.col("lat"), F.col("id")]).where("rank % 5 = 2").select("id")
+    return R.global_rank(t.buildings(), [F.col("lat"), F.col("id")]).where("rank % 5 = 2").select("id")
 
 
 @query("w13_even_picks", sql("t", f"SELECT id FROM (SELECT id, row_number() OVER (ORDER BY prob DESC, id) - 1 AS r, count(*) OVER () AS n FROM t WHERE {GOOD}) WHERE r IN (SELECT CAST(floor(k * (n - 1) / 9.0e0) AS BIGINT) FROM (SELECT unnest(range(0, 10)) AS k), (SELECT count(*) AS n FROM t WHERE {GOOD}))"))
 def _(t):
     rows = t.tiles().where(at_least("prob", 0.0))
-    ranked = R.global_rank(rows, F.floor(F.col("prob") * 1000 + 0.5).cast("long"), [F.desc("prob"), F.col("id")])
+    ranked = R.global_rank(rows, [F.desc("prob"), F.col("id")])
     picks = rows.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.floor(k * (F.col("n") - 1) / 9.0).cast("long"))).alias("rank"))
     return ranked.join(F.broadcast(picks.distinct()), "rank", "left_semi").select("id")
 

@@ -47,12 +47,29 @@ def rotated_rectangle(points: np.ndarray) -> tuple[float, float]:
     return float(max(wide[k], high[k])), float(min(wide[k], high[k]))
 
 
+def simple(ring: np.ndarray) -> bool:
+    """Whether no two edges of a closed ring cross and it has an area."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+
+    def side(p, q, r):
+        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
+
+    p, q, u, v = a[:, None], b[:, None], a[None], b[None]
+    crossing = (side(p, q, u) * side(p, q, v) < 0) & (side(u, v, p) * side(u, v, q) < 0)
+    return len(np.unique(ring, axis=0)) > 2 and not crossing.any() and bool((a[:, 0] * b[:, 1] - b[:, 0] * a[:, 1]).sum())
+
+
 def shape_features(ring: list) -> tuple[float, float, float]:
-    """rectangularity, aspect ratio and elongation of a ring of (x, y)."""
+    """rectangularity and aspect ratio by the upright box, elongation by the least rotated one; zeros if the ring is no simple polygon."""
     p = np.array(ring, dtype=float).reshape(-1, 2)
-    area = abs(float((p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1]).sum()) / 2) if len(p) > 2 else 0.0
+    if len(p):
+        p = p - p[0]  # near the origin, or the products lose the digits that differ
+    if not simple(p):
+        return 0.0, 0.0, 0.0
+    area = abs(float((p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1]).sum()) / 2)
+    wide, high = np.maximum(np.ptp(p, axis=0), 1e-6)
     long, short = rotated_rectangle(p)
-    return (area / (long * short) if long * short > 0 else 0.0), (long / short if short > 0 else 0.0), (1 - short / long if long > 0 else 0.0)
+    return area / (wide * high), max(wide, high) / min(wide, high), long / max(short, 1e-6)
 
 
 @F.pandas_udf(_numbers("rectangularity", "aspect_ratio", "elongation"))
@@ -156,17 +173,23 @@ def fill_holes(mask: np.ndarray) -> np.ndarray:
         outside = grown
 
 
-def gradient_footprint(img: np.ndarray) -> np.ndarray | None:
-    """The part around the centre of the strong-gradient mask (upper quarter, closed twice, filled); the commonest part within three
-    pixels of the centre if the centre itself is in none; none if there is none."""
-    g = sobel(np.nan_to_num(img))
-    mask = g > np.percentile(g, 75)
-    mask = fill_holes(eroded(np.pad(dilate(np.pad(mask, 2), 2), 2), 2)[4:-4, 4:-4])
+def gradient_footprint(img: np.ndarray, centre: tuple[float, float] = (0.5, 0.5)) -> np.ndarray | None:
+    """The part around the centre (shares of the width, from the left, and of the height, from the top) of the strong-gradient mask:
+    upper quarter, closed twice, filled. Missing pixels count as the mean. If the centre is in no part, the commonest part within
+    three pixels; none if there is none, if all pixels are missing, or if the image is flat."""
+    if np.isnan(img).all():
+        return None
+    g = sobel(np.where(np.isnan(img), np.nanmean(img), img))
+    top = np.percentile(g, 99)
+    if top <= 0:
+        return None
+    g = g / top
+    mask = fill_holes(eroded(dilate(g > np.percentile(g, 75), 2), 2))  # what is beyond the edge counts as outside
     label = label_components(mask) if mask.any() else np.zeros(mask.shape, dtype=int)
-    cy, cx = mask.shape[0] // 2, mask.shape[1] // 2
-    at = label[cy, cx]
+    at_x, at_y = (max(0, min(n - 1, round(c * n))) for c, n in zip(centre, (mask.shape[1], mask.shape[0])))
+    at = label[at_y, at_x]
     if at == 0:
-        near = label[max(0, cy - 3) : cy + 4, max(0, cx - 3) : cx + 4]
+        near = label[max(0, at_y - 3) : at_y + 4, max(0, at_x - 3) : at_x + 4]
         near = near[near > 0]
         if not len(near):
             return None

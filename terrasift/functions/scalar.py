@@ -45,7 +45,7 @@ def bbox_area_km2(xmin, ymin, xmax, ymax) -> Column:
 def expand_bbox(xmin, ymin, xmax, ymax, margin_m: float) -> list[Column]:
     """The box with margin_m more on every side."""
     mid = (F.col(ymin) + F.col(ymax)) / 2
-    dy, dx = F.lit(margin_m / DEG_LON), F.lit(margin_m) / (DEG_LON * F.cos(F.radians(mid)))
+    dy, dx = F.lit(margin_m / DEG_PLAIN), F.lit(margin_m) / (DEG_PLAIN * F.cos(F.radians(mid)))
     return [F.col(xmin) - dx, F.col(ymin) - dy, F.col(xmax) + dx, F.col(ymax) + dy]
 
 
@@ -76,6 +76,35 @@ def short_id(prefix: str, *parts: Column, size: int = 10) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, size))
 
 
+#: Fixed value: names of image files; quad, corner, zone, resolution, day taken and, in some, day processed.
+TILE_FILE = r"^m_(\d{7,8})_(ne|nw|se|sw)_(\d+)_(\d+)_(\d{8})(?:_(\d{8}))?\.tif$"
+
+
+def tile_parts(name) -> dict[str, Column]:
+    """quad_id, quadrant, utm_zone, res_code, acquired and processed of a file name; null where it isn't one (or has no such day)."""
+    fits = F.rlike(name, F.lit(TILE_FILE))
+    part = lambda k: F.when(fits, F.nullif(F.regexp_extract(name, TILE_FILE, k), F.lit("")))
+    return {c: part(k) for k, c in enumerate(("quad_id", "quadrant", "utm_zone", "res_code", "acquired", "processed"), 1)}
+
+
+def tile_name(quad_id, quadrant, utm_zone, res_code, acquired, processed=None) -> Column:
+    """The file name of these parts; without a day of processing, or where it is null, the short form."""
+    last = [] if processed is None else [processed]
+    return F.concat(F.concat_ws("_", F.lit("m"), quad_id, quadrant, utm_zone, res_code, acquired, *last), F.lit(".tif"))
+
+
+#: Closings of a band's files in the surface-reflectance product, and what changes in the path to it.
+BAND_FILES = {"blue": "_SR_B1.TIF", "green": "_SR_B2.TIF", "red": "_SR_B3.TIF", "nir08": "_SR_B4.TIF", "swir16": "_SR_B5.TIF", "swir22": "_SR_B7.TIF"}
+LEVEL_PARTS = (("/level-1/", "/level-2/"), ("_L1TP_", "_L2SP_"), ("_L1GT_", "_L2SP_"))
+
+
+def surface_href(href: Column, band: str) -> Column:
+    """The path of a band's reflectance for the path of a scene's panchromatic file."""
+    for old, new in (*LEVEL_PARTS, ("_B8.TIF", BAND_FILES[band])):
+        href = F.replace(href, F.lit(old), F.lit(new))
+    return href
+
+
 def hash_unit(seed: str, key: Column) -> Column:
     """A number in [0, 1) from the seed and a key: the first 7 hexadecimal digits of their md5."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), key.cast("string")).cast("binary")), 1, 7), 16, 10).cast("long") / float(16**7)

@@ -7,10 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import albers, inverse_albers
-from ..functions.scalar import EARTH_M, hash_unit
+from ..functions.geometry import ALBERS, albers, inverse_albers
+from ..functions.scalar import DEG_PLAIN, EARTH_M, bbox_area_km2, hash_unit, tidy
+from ..sources.scratch import written
 from . import graph
-from .spatial import box_join, in_ring, radius_join
+from .aggregates import most_common
+from .ranking import running
+from .spatial import box_join, in_ring, radius_join, uncrossed
 
 
 def land_grid(spark: SparkSession, ring: Column, bounds: tuple[float, float, float, float], stride: float = 1680.0) -> DataFrame:
@@ -18,7 +21,9 @@ def land_grid(spark: SparkSession, ring: Column, bounds: tuple[float, float, flo
 
     bounds: (lat0, lon0, lat1, lon1). Rows of the grid are generated where they are used, not on the driver.
     """
-    corners = spark.createDataFrame([(la, lo) for la in (bounds[0], (bounds[0] + bounds[2]) / 2, bounds[2]) for lo in (bounds[1], (bounds[1] + bounds[3]) / 2, bounds[3])], "lat double, lon double")
+    # a parallel is an arc, whose extremum lies on the central meridian or at an end; along a meridian x and y only rise or fall
+    ends = {bounds[1], bounds[3], min(max(ALBERS["lon0"], bounds[1]), bounds[3])}
+    corners = spark.createDataFrame([(la, lo) for la in (bounds[0], bounds[2]) for lo in sorted(ends)], "lat double, lon double")
     x, y = albers(F.col("lat"), F.col("lon"))
     b = corners.select(x.alias("x"), y.alias("y")).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
     nx, ny = math.ceil((b.x1 - b.x0) / stride) + 1, math.ceil((b.y1 - b.y0) / stride) + 1
@@ -28,11 +33,16 @@ def land_grid(spark: SparkSession, ring: Column, bounds: tuple[float, float, flo
     return placed.where(in_ring(F.col("lon"), F.col("lat"), ring)).select(F.format_string("t_%08d", "id").alias("tile_id"), "lat", "lon", "x", "y")
 
 
-def random_points(spark: SparkSession, n: int, seed: str, ring: Column, bounds: tuple[float, float, float, float], over: float = 4.0) -> DataFrame:
-    """n points of the ring, uniform in latitude and longitude, from a hash of their number; fewer if ``over`` times n draws don't hit it often enough."""
+def random_points(spark: SparkSession, n: int, seed: str, ring: Column, bounds: tuple[float, float, float, float]) -> DataFrame:
+    """n points of the ring, uniform in latitude and longitude, from a hash of their number; as many draws as it takes (the ring must have an area)."""
     at = lambda k, lo, hi: lo + (hi - lo) * hash_unit(seed + k, F.col("id"))
-    drawn = spark.range(int(n * over)).withColumns({"lat": at("y", bounds[0], bounds[2]), "lon": at("x", bounds[1], bounds[3])})
-    return drawn.where(in_ring(F.col("lon"), F.col("lat"), ring)).orderBy("id").limit(n)
+    draws = 4 * n
+    while True:
+        drawn = spark.range(draws).withColumns({"lat": at("y", bounds[0], bounds[2]), "lon": at("x", bounds[1], bounds[3])})
+        inside = drawn.where(in_ring(F.col("lon"), F.col("lat"), ring)).orderBy("id").limit(n)
+        if draws >= 1 << 40 or inside.count() == n:
+            return inside
+        draws *= 8
 
 
 def road_distance(points: DataFrame, roads: DataFrame, cap: float, cell: float = 0.1) -> DataFrame:
@@ -58,12 +68,86 @@ def sub_clusters(points: DataFrame, parent: str, eps: float = 300.0, min_samples
     return found.join(points.select("id", parent), "id")
 
 
-def facilities(points: DataFrame, parent: str, big_km2: float = 10.0, eps: float = 300.0, min_samples: int = 5) -> DataFrame:
-    """(parent, cluster, n, lat, lon, source): the sub-clusters of parents over big_km2, noise as singletons; of others the centroid."""
-    size = points.groupBy(parent).agg(F.count(F.lit(1)).alias("n"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), ((F.max("lon") - F.min("lon")) * 111.0 * F.cos(F.radians(F.avg("lat"))) * (F.max("lat") - F.min("lat")) * 111.0).alias("km2"))
-    large = size.where(F.col("km2") > big_km2).select(parent)
-    inside = sub_clusters(points.join(large, parent, "left_semi"), parent, eps, min_samples).join(points.select("id", "lat", "lon"), "id")
-    key = F.when(F.col("cluster") < 0, -F.col("id") - 2).otherwise(F.col("cluster"))
-    parts = inside.groupBy(parent, key.alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon")).withColumn("source", F.when(F.col("cluster") < -1, "singleton").otherwise("sub_cluster"))
-    whole = size.where((F.col("km2") <= big_km2) | F.col("km2").isNull()).select(parent, F.lit(None).cast("long").alias("cluster"), "n", "lat", "lon", F.lit("cluster_centroid").alias("source"))
-    return parts.unionByName(whole)
+#: Building classes that segmentation takes, and the floor of an area for buildings without a class.
+INDUSTRIAL = ("industrial", "warehouse", "hangar", "farm_auxiliary")
+UNCLASSED_M2 = 3000.0
+
+
+def facilities(candidates: DataFrame, buildings: DataFrame, singletons: DataFrame, big_km2: float = 10.0, eps: float = 300.0, min_samples: int = 5) -> DataFrame:
+    """Candidates over big_km2 give their clusters of buildings (sub_cluster; noise is dropped), or their own point if they have none; other
+    candidates (cluster_centroid) and singletons give their own point.
+
+    candidates: candidate_id, lon, lat, lon_min, lat_min, lon_max, lat_max; singletons: candidate_id, lon, lat; buildings: id, lon, lat,
+    approx_area_m2, class, subtype, name, height, num_floors. A building may lie in several candidates. Gives facility_id (in the order
+    of big ones, others, singletons), parent_candidate_id, lon, lat, n_buildings, source, names, n_distinct_names, max_height_m, max_num_floors, top_class.
+    """
+    big = F.coalesce(bbox_area_km2("lon_min", "lat_min", "lon_max", "lat_max") > big_km2, F.lit(False))
+    large = candidates.where(big)
+    kept = buildings.where(F.coalesce(F.col("class").isin(*INDUSTRIAL), F.lit(False)) | F.coalesce(F.col("subtype") == "industrial", F.lit(False)) | (F.col("class").isNull() & (F.col("approx_area_m2") >= UNCLASSED_M2)))
+    boxes = large.select("candidate_id", F.col("lon_min").alias("rxmin"), F.col("lat_min").alias("rymin"), F.col("lon_max").alias("rxmax"), F.col("lat_max").alias("rymax"))
+    points = kept.select("*", F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))
+    inside = box_join(points, boxes, 0.05).select(*kept.columns, "candidate_id")
+    middle = inside.groupBy("candidate_id").agg(F.avg("lat").alias("_mid"))
+    metres = inside.join(middle, "candidate_id").withColumns({"_x": F.col("lon") * DEG_PLAIN * F.cos(F.radians("_mid")), "_y": F.col("lat") * DEG_PLAIN})
+    # numbers in the order of candidate and building, so that labels don't depend on partitions
+    node = running(metres, [F.col("candidate_id"), F.col("id")], {}, "_node")
+    node = written(node, "facility-nodes")
+    found = graph.dbscan(node.select(F.col("_node").alias("id")), eps, min_samples, _planar_pairs(node, eps))
+    clusters = node.join(found.where("cluster >= 0").select(F.col("id").alias("_node"), "cluster"), "_node")
+    top = most_common(clusters, ["cluster"], "class").select("cluster", F.col("class").alias("top_class"))
+    summed = clusters.groupBy("cluster").agg(
+        F.min("candidate_id").alias("parent_candidate_id"), F.avg("lon").alias("lon"), F.avg("lat").alias("lat"), F.count(F.lit(1)).alias("n_buildings"),
+        F.array_sort(F.collect_set(F.when(F.col("name") != "", F.col("name")))).alias("names"), F.max("height").cast("double").alias("max_height_m"), F.max("num_floors").cast("int").alias("max_num_floors"),
+    ).join(top, "cluster", "left")
+    parts = summed.withColumns({"n_distinct_names": F.size("names"), "source": F.lit("sub_cluster"), "_kind": F.lit(0)})
+    none = {"n_buildings": F.lit(0).cast("long"), "names": F.array().cast("array<string>"), "n_distinct_names": F.lit(0), "max_height_m": F.lit(None).cast("double"), "max_num_floors": F.lit(None).cast("int"), "top_class": F.lit(None).cast("string"), "cluster": F.lit(-1).cast("long")}
+    alone = lambda df, source, kind: df.select(F.col("candidate_id").alias("parent_candidate_id"), "lon", "lat").withColumns(none | {"source": F.lit(source), "_kind": F.lit(kind)})
+    empty = large.join(parts.select(F.col("parent_candidate_id").alias("candidate_id")).distinct(), "candidate_id", "left_anti")
+    every = parts.unionByName(alone(empty, "cluster_centroid", 0)).unionByName(alone(candidates.where(~big), "cluster_centroid", 1)).unionByName(alone(singletons, "singleton", 2))
+    placed = running(every, [F.col("_kind"), F.col("parent_candidate_id"), F.col("cluster"), F.col("lon"), F.col("lat")], {}, "_at")
+    return placed.select(
+        F.format_string("f_%07d", "_at").alias("facility_id"), "parent_candidate_id", "lon", "lat", "n_buildings", "source", "names", "n_distinct_names", "max_height_m", "max_num_floors", "top_class",
+    )
+
+
+def _planar_pairs(points: DataFrame, eps: float) -> DataFrame:
+    """(a, b), a < b, of the points (_node, candidate_id, _x, _y) of one candidate within eps."""
+    cell = points.select("candidate_id", "_node", "_x", "_y", F.floor(F.col("_x") / eps).alias("_cx"), F.floor(F.col("_y") / eps).alias("_cy"))
+    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    left = cell.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near)).select("candidate_id", F.col("_node").alias("a"), F.col("_x").alias("_ax"), F.col("_y").alias("_ay"), (F.col("_cx") + F.col("_dx")).alias("_cx"), (F.col("_cy") + F.col("_dy")).alias("_cy"))
+    both = left.join(cell.withColumnRenamed("_node", "b"), ["candidate_id", "_cx", "_cy"])
+    return both.where((F.col("a") < F.col("b")) & (F.sqrt(F.pow(F.col("_ax") - F.col("_x"), 2) + F.pow(F.col("_ay") - F.col("_y"), 2)) <= eps)).select("a", "b")
+
+
+def box_gap(l=("xmin", "ymin", "xmax", "ymax"), r=("rxmin", "rymin", "rxmax", "rymax")) -> Column:
+    """How far two boxes are apart, 0 where they meet."""
+    apart = lambda k: F.greatest(F.lit(0.0), F.greatest(F.col(l[k]), F.col(r[k])) - F.least(F.col(l[k + 2]), F.col(r[k + 2])))
+    return F.sqrt(F.pow(apart(0), 2) + F.pow(apart(1), 2))
+
+
+def road_cut_clusters(buildings: DataFrame, roads: DataFrame, buffer_m: float, parent: str = "parent") -> DataFrame:
+    """buildings with ``cluster``, the least id of their cluster: buildings (id, parent, x, y, xmin, ymin, xmax, ymax in metres) of one parent whose
+    boxes are at most buffer_m apart are joined, unless the line between their points meets a road (xa, ya, xb, yb in metres)."""
+    own = buildings.select("id", parent, "x", "y", "xmin", "ymin", "xmax", "ymax")
+    other = own.select(F.col("id").alias("rid"), F.col(parent).alias("rparent"), F.col("x").alias("xb"), F.col("y").alias("yb"), *[(F.col(c) - buffer_m).alias(f"r{c}") for c in ("xmin", "ymin")], *[(F.col(c) + buffer_m).alias(f"r{c}") for c in ("xmax", "ymax")])
+    near = box_join(own, other, max(buffer_m, 1.0)).where((F.col("id") < F.col("rid")) & F.col(parent).eqNullSafe(F.col("rparent")))
+    shrunk = near.withColumns({f"r{c}": F.col(f"r{c}") + (buffer_m if c.endswith("min") else -buffer_m) for c in ("xmin", "ymin", "xmax", "ymax")})
+    lines = written(shrunk.where(box_gap() <= buffer_m).select(F.col("id").alias("a"), F.col("rid").alias("b"), F.col("x").alias("xa"), F.col("y").alias("ya"), "xb", "yb"), "gap-lines")
+    comps = graph.connected_components(uncrossed(lines, roads, max(buffer_m, 1.0)).select("a", "b"))
+    return buildings.join(comps.select(F.col("node").alias("id"), F.col("comp").alias("cluster")), "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+
+
+def anchored(clustered: DataFrame, classes: tuple, anchor_m2: float, area: str = "area", kind: str = "class", box_area: str | None = None, total_m2: float = 0.0) -> DataFrame:
+    """The buildings of clusters with one of at least anchor_m2 or of an anchor class; and, if total_m2 is positive, whose box areas add up to it."""
+    tests = F.coalesce(F.max(area) >= anchor_m2, F.lit(False)) | F.bool_or(F.coalesce(F.col(kind).isin(*classes), F.lit(False)))
+    if box_area is not None and total_m2 > 0:
+        tests = tests & (F.sum(box_area) >= total_m2)
+    return clustered.join(clustered.groupBy("cluster").agg(tests.alias("_keep")).where("_keep").select("cluster"), "cluster", "left_semi")
+
+
+def cell_groups(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
+    """(cy, cx, n, position): square cells counted from the least coordinates, and their places from 1, from the greatest mean y down."""
+    least = df.agg(F.min(x).alias("_x0"), F.min(y).alias("_y0"))
+    cells = df.crossJoin(F.broadcast(least)).select(F.col(y).alias("_y"), F.floor((F.col(x) - F.col("_x0")) / size).cast("long").alias("cx"), F.floor((F.col(y) - F.col("_y0")) / size).cast("long").alias("cy"))  # one row
+    groups = cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("n"), tidy(F.avg("_y")).alias("_m"))
+    return running(groups, [F.desc("_m"), F.col("cy"), F.col("cx")], {}, "position").select("cy", "cx", "n", (F.col("position") + 1).alias("position"))

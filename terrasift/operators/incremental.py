@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +46,17 @@ def chunk_count(bytes_: Column, budget: int) -> Column:
 def verdict(value: Column, warn: float, fail: float) -> Column:
     """PASS, WARN or FAIL as the value reaches the bounds."""
     return F.when(value >= fail, "FAIL").when(value >= warn, "WARN").otherwise("PASS")
+
+
+def per_chunk(rows: DataFrame, chunk: str, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Rows of ``schema`` (chunk, ..., error) by work(chunk's rows); a chunk whose work fails is one row with its error. Chunks are planned to fit a task."""
+    names = [f.strip().split()[0] for f in schema.split(",")]
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        try:
+            done = work(part)
+            return done.assign(**{chunk: key[0], "error": None})[names]
+        except Exception as e:
+            return pd.DataFrame([{n: None for n in names} | {chunk: key[0], "error": f"{type(e).__name__}: {e}"[:200]}])[names]
+
+    return rows.groupBy(chunk).applyInPandas(run, schema)

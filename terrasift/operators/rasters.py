@@ -104,10 +104,66 @@ def edge_strength(pixels: Column, height: int, width: int) -> Column:
     return F.transform(at, size)
 
 
-def window_mode(df: DataFrame, key: str, pixels: str, width: int, reach: int) -> DataFrame:
-    """(key, i, mode): the commonest value of the square window around each pixel, the least of tied ones."""
-    each = df.select(key, F.posexplode(pixels).alias("i", "v")).withColumns({"y": F.floor(F.col("i") / width).cast("int"), "x": F.col("i") % width})
-    moved = each.withColumn("dy", F.explode(F.sequence(F.lit(-reach), F.lit(reach)))).withColumn("dx", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
-    there = moved.select(key, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "v")
-    n = each.select(key, "i", "y", "x").join(there, [key, "y", "x"]).groupBy(key, "i", "v").count()
-    return n.groupBy(key, "i").agg(F.min_by("v", F.struct(-F.col("count"), "v")).alias("mode"))
+def _window(pixels: Column, i: Column, height: int, width: int, reach: int) -> Column:
+    """The pixels of the square window around pixel i, cut at the edges."""
+    row, col = F.floor(i / width).cast("int"), (i % width).cast("int")
+    x0, x1 = F.greatest(col - reach, F.lit(0)), F.least(col + reach, F.lit(width - 1))
+    rows = F.sequence(F.greatest(row - reach, F.lit(0)), F.least(row + reach, F.lit(height - 1)))
+    return F.flatten(F.transform(rows, lambda y: F.slice(pixels, y * width + x0 + 1, x1 - x0 + 1)))
+
+
+def window_mode(pixels: Column, height: int, width: int, reach: int) -> Column:
+    """For each pixel the commonest value of the square window around it, the least of tied ones; missing pixels don't count."""
+
+    def mode(i):
+        near = F.array_compact(_window(pixels, i, height, width, reach))
+        return F.array_max(F.transform(F.array_distinct(near), lambda c: F.struct(F.size(F.filter(near, lambda x: x == c)).alias("n"), (-c).alias("v"))))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda i: (-mode(i)["v"]))
+
+
+def distance_to(wanted: Column, height: int, width: int, metres: float = 30.0) -> Column:
+    """For each pixel the distance to the nearest one of the mask; null if there is none."""
+    at = F.sequence(F.lit(0), F.lit(height * width - 1))
+    there = F.filter(at, lambda i: F.coalesce(F.get(wanted, i), F.lit(False)))
+    row, col = lambda i: F.floor(i / width), lambda i: i % width
+    square = lambda x: x * x
+    return F.transform(at, lambda i: F.sqrt(F.array_min(F.transform(there, lambda j: square(row(i) - row(j)) + square(col(i) - col(j))))) * metres)
+
+
+def band_statistics(bands: dict[str, Column], mask: Column, height: int, width: int, red: str, nir: str, suffix: str = "") -> dict[str, Column]:
+    """footprint_pixels; mean, std (population) and mean edge strength of each band inside the mask; mean index of the pixels whose nir + red is positive. Nulls in an empty mask."""
+    out = {"footprint_pixels": F.size(F.filter(mask, lambda m: m)).cast("long")}
+    for name, pixels in bands.items():
+        inside = masked(pixels, mask)
+        out |= {f"mean_{name}": mean(inside), f"std_{name}": stdev(inside), f"edge_{name}": mean(masked(edge_strength(pixels, height, width), mask))}
+    pairs = F.filter(F.arrays_zip(bands[red].alias("r"), bands[nir].alias("n"), mask.alias("m")), lambda p: p["m"] & (p["n"] + p["r"] > 1e-6))
+    out["ndvi"] = mean(F.transform(pairs, lambda p: (p["n"] - p["r"]) / (p["n"] + p["r"])))
+    return {k + suffix: v for k, v in out.items()}
+
+
+def joint_means(bands: dict[str, Column], mask: Column) -> dict[str, Column]:
+    """footprint_pixels and each band's mean over the pixels of the mask that every band has; the means are null if there are none."""
+    zipped = F.arrays_zip(mask.alias("m"), *[x.alias(name) for name, x in bands.items()])
+    ok = lambda p: F.coalesce(p["m"], F.lit(False)) & F.forall(F.array(*[p[name] for name in bands]), lambda x: x.isNotNull() & ~F.isnan(x))
+    valid = F.filter(zipped, ok)
+    band = lambda name: mean(F.transform(valid, lambda p: p[name]))
+    return {"footprint_pixels": F.size(valid).cast("long")} | {name: band(name) for name in bands}
+
+
+def raster_window(box: tuple, x0: float, y0: float, res: float, width: int, height: int) -> Column:
+    """(col, row, cols, rows) of the part of a raster (corner x0, y0 at the top left) that a box (xmin, ymin, xmax, ymax columns) covers: offsets and ends
+    rounded half to even, cut at the raster's edges; null if nothing is left."""
+    xmin, ymin, xmax, ymax = (F.col(c) for c in box)
+    # the size is taken apart, as window readers do, so that the rounding is theirs
+    left, top, wide, high = (xmin - x0) / res, (y0 - ymax) / res, (xmax - xmin) / res, (ymax - ymin) / res
+    col, row = (F.greatest(F.lit(0), F.bround(v).cast("int")) for v in (left, top))
+    cols, rows = F.least(F.lit(width), F.bround(left + wide).cast("int")) - col, F.least(F.lit(height), F.bround(top + high).cast("int")) - row
+    return F.when((cols > 0) & (rows > 0), F.struct(col.alias("col"), row.alias("row"), cols.alias("cols"), rows.alias("rows")))
+
+
+def resampled(pixels: Column, height: int, width: int, to_height: int, to_width: int) -> Column:
+    """The nearest pixel for each of a raster of another size."""
+    at = F.sequence(F.lit(0), F.lit(to_height * to_width - 1))
+    place = lambda i: F.floor((F.floor(i / to_width) + 0.5) * height / to_height) * width + F.floor((i % to_width + 0.5) * width / to_width)
+    return F.transform(at, lambda i: F.get(pixels, place(i).cast("int")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import EARTH_M, haversine
 from ..sources.scratch import written
 
-MARGIN, METRES = 1.02, 110_000.0
+MARGIN, METRES = 1.02, 110_000.0  # a degree of latitude is 111.2 km by any of the radii in use
 
 
 def _width(band: Column, dy: float, radius: float) -> Column:
@@ -25,22 +25,28 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, l=("lat", "lon
     """Pairs within ``radius`` metres (inclusive) with their ``dist``; column names of the sides must differ. how: inner, left_semi, left_anti."""
     dy = radius * MARGIN / METRES
     band, lat, lon = F.floor(F.col(r[0]) / dy), F.col(l[0]), F.col(l[1])
+    turn = lambda x: F.pmod(x + 180.0, F.lit(360.0)) - 180.0
     there = right.where(F.col(r[0]).isNotNull() & F.col(r[1]).isNotNull()).withColumn("_y", band.cast("long"))
-    there = there.withColumn("_x", F.floor(F.col(r[1]) / _width(F.col("_y"), dy, radius)).cast("long"))
+    there = there.withColumn("_x", F.floor(turn(F.col(r[1])) / _width(F.col("_y"), dy, radius)).cast("long"))
     reach = F.lit(dy) / F.cos(F.radians(F.least(F.abs(lat) + dy, F.lit(89.0))))
     own = F.floor(lat / dy).cast("long")
-    here = left.where(lat.isNotNull() & lon.isNotNull()).withColumn("_ly", F.explode(F.array(own - 1, own, own + 1)))
+    df = left if how == "inner" else left.withColumn("_id", F.monotonically_increasing_id())
+    if how != "inner":
+        df = written(df, "semi")  # the numbers are used twice
+    here = df.where(lat.isNotNull() & lon.isNotNull()).withColumn("_ly", F.explode(F.array(own - 1, own, own + 1)))
     wide = _width(F.col("_ly"), dy, radius)
-    here = here.withColumn("_lx", F.explode(F.sequence(F.floor((lon - reach) / wide).cast("long"), F.floor((lon + reach) / wide).cast("long"))))
+    cells = lambda a, b: F.sequence(F.floor(a / wide).cast("long"), F.floor(b / wide).cast("long"))
+    none = F.array().cast("array<long>")
+    west, east, edge = turn(lon) - reach, turn(lon) + reach, F.lit(180.0)
+    # what reaches over the antimeridian has cells on both sides of it
+    spans = F.array_distinct(F.concat(cells(F.greatest(west, -edge), F.least(east, edge)), F.when(west < -edge, cells(F.least(west + 360.0, edge), edge)).otherwise(none), F.when(east > edge, cells(-edge, F.greatest(east - 360.0, -edge))).otherwise(none)))
+    here = here.withColumn("_lx", F.explode(spans))
     dist = haversine(lat, lon, F.col(r[0]), F.col(r[1]), earth)
     meet = (F.col("_ly") == F.col("_y")) & (F.col("_lx") == F.col("_x")) & (dist <= radius)
     if how == "inner":
         return here.join(there, meet).withColumn("dist", dist).drop("_lx", "_ly", "_x", "_y")
-    keys = [c for c in left.columns]
-    hit = here.join(there, meet, "left_semi").select(*keys).distinct()
-    if how == "left_semi":
-        return hit
-    return left.join(hit.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")
+    hit = here.join(there, meet, "left_semi").select("_id").distinct()
+    return df.join(hit, "_id", how).select(*left.columns)
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, start: float, l=("lat", "lon"), r=("rlat", "rlon"), order: str = "rid", most: float | None = None, earth: float = EARTH_M) -> DataFrame:
@@ -99,9 +105,43 @@ def crosses(ax, ay, bx, by, cx, cy, dx, dy) -> Column:
     return (one * two <= 0) & (three * four <= 0) & overlap
 
 
+def pieces(roads: DataFrame, step: float) -> DataFrame:
+    """Segments (xa, ya, xb, yb) in pieces of at most ``step`` in either direction; neighbours share their ends exactly."""
+    n = F.greatest(F.ceil(F.greatest(F.abs(F.col("xb") - F.col("xa")), F.abs(F.col("yb") - F.col("ya"))) / step), F.lit(1)).cast("int")
+    each = roads.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    at = lambda a, b, i: F.when(i == 0, F.col(a)).when(i == F.col("_n"), F.col(b)).otherwise(F.col(a) + (F.col(b) - F.col(a)) * i / F.col("_n"))
+    ends = {c: at(f"{c[0]}a", f"{c[0]}b", F.col("_i") + int(c[1] == "b")) for c in ("xa", "ya", "xb", "yb")}
+    return each.select(*[c for c in roads.columns if c not in ends], *[x.alias(c) for c, x in ends.items()])
+
+
+def uncrossed(lines: DataFrame, roads: DataFrame, cell: float) -> DataFrame:
+    """The lines (a, b, xa, ya, xb, yb) that meet no segment (xa, ya, xb, yb) of ``roads``; both sides meet on grid cells only."""
+    ends = ("xa", "ya", "xb", "yb")
+    boxed = lambda df, x: df.select("*", *[f(f"{c}a", f"{c}b").alias(f"{x}{c}{m}") for c in "xy" for m, f in (("min", F.least), ("max", F.greatest))])
+    near = box_join(boxed(lines, ""), boxed(pieces(roads, cell).select(*ends), "r").withColumnsRenamed({c: f"r{c}" for c in ends}), cell)
+    hit = near.where(crosses(*[F.col(c) for c in ends], *[F.col(f"r{c}") for c in ends])).select("a", "b").distinct()
+    return lines.join(hit, ["a", "b"], "left_anti")
+
+
+def in_rings(x: Column, y: Column, rings: Column) -> Column:
+    """Whether a polygon given as rings, holes among them, holds the point: an odd number of its rings do."""
+    return F.pmod(F.size(F.filter(rings, lambda r: in_ring(x, y, r))), F.lit(2)) == 1
+
+
+def in_region(points: DataFrame, polygons: DataFrame, cell: float = 1.0, l=("lon", "lat")) -> DataFrame:
+    """The points in the union of polygons (rings: arrays of arrays of (x, y))."""
+    bound = lambda f, c: F.aggregate(F.flatten("rings"), F.lit(None).cast("double"), lambda a, p: f(F.coalesce(a, p[c]), p[c]))
+    boxes = polygons.select("rings", bound(F.least, "x").alias("rxmin"), bound(F.least, "y").alias("rymin"), bound(F.greatest, "x").alias("rxmax"), bound(F.greatest, "y").alias("rymax"))
+    numbered = written(points.withColumn("_id", F.monotonically_increasing_id()), "region")
+    x, y = (F.col(c) for c in l)
+    near = box_join(numbered.select("_id", *l, x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax")), boxes, cell)
+    hit = near.where(in_rings(x, y, F.col("rings"))).select("_id").distinct()
+    return numbered.join(hit, "_id", "left_semi").select(*points.columns)
+
+
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
     """Ray casting over an array of (x, y), closed or not; points on an edge may fall either way."""
     n = F.size(ring)
-    at = lambda i: F.get(ring, F.pmod(i, n))
+    at = lambda i: F.get(ring, F.pmod(i, n).cast("int"))
     hits = F.transform(F.sequence(F.lit(0), n - 1), lambda i: ((at(i)["y"] > y) != (at(i + 1)["y"] > y)) & (x < F.try_divide((at(i + 1)["x"] - at(i)["x"]) * (y - at(i)["y"]), at(i + 1)["y"] - at(i)["y"]) + at(i)["x"]))
     return F.pmod(F.size(F.filter(hits, lambda h: F.coalesce(h, F.lit(False)))), F.lit(2)) == 1

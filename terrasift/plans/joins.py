@@ -135,14 +135,14 @@ def _(t):
 
 
 @query("j17_multi_radius", sql("ab", f"""SELECT id, n_100m, n_500m, n_2km, CASE WHEN n_100m BETWEEN 1 AND 3 THEN 'strong' WHEN n_100m > 3 THEN 'multi' WHEN n_500m > 0 THEN 'far' ELSE 'none' END AS quality, ids FROM (
-SELECT a.id, CAST(coalesce(count_if(d <= 100), 0) AS BIGINT) AS n_100m, CAST(coalesce(count_if(d <= 500), 0) AS BIGINT) AS n_500m, count(d) AS n_2km, coalesce(list_sort(list(bid) FILTER (WHERE d <= 500)), []) AS ids FROM a LEFT JOIN (SELECT a.id AS aid, b.id AS bid, {BA} AS d FROM a JOIN b ON {BA} <= 2000) p ON a.id = p.aid GROUP BY a.id)"""))
+SELECT a.id, CAST(coalesce(count_if(d <= 100), 0) AS BIGINT) AS n_100m, CAST(coalesce(count_if(d <= 500), 0) AS BIGINT) AS n_500m, count(d) AS n_2km, coalesce(list_sort(CASE WHEN count_if(d <= 100) > 0 THEN list(bid) FILTER (WHERE d <= 100) ELSE list(bid) FILTER (WHERE d <= 500) END), []) AS ids FROM a LEFT JOIN (SELECT a.id AS aid, b.id AS bid, {BA} AS d FROM a JOIN b ON {BA} <= 2000) p ON a.id = p.aid GROUP BY a.id)"""))
 def _(t):
     left = t.anchors().select("id", "lat", "lon")
     pairs = S.radius_join(left, targets(t.buildings()), 2000).select("id", "rid", "dist")
-    counts = pairs.groupBy("id").agg(F.count_if(F.col("dist") <= 100).alias("n_100m"), F.count_if(F.col("dist") <= 500).alias("n_500m"), F.count(F.lit(1)).alias("n_2km"), F.sort_array(F.collect_list(F.when(F.col("dist") <= 500, F.col("rid")))).alias("ids"))
+    counts = pairs.groupBy("id").agg(F.count_if(F.col("dist") <= 100).alias("n_100m"), F.count_if(F.col("dist") <= 500).alias("n_500m"), F.count(F.lit(1)).alias("n_2km"), *[F.sort_array(F.collect_list(F.when(F.col("dist") <= r, F.col("rid")))).alias(f"ids{r}") for r in (100, 500)])
     n = left.select("id").join(counts, "id", "left").na.fill(0, ["n_100m", "n_500m", "n_2km"])
     quality = F.when(F.col("n_100m").between(1, 3), "strong").when(F.col("n_100m") > 3, "multi").when(F.col("n_500m") > 0, "far").otherwise("none")
-    return n.select("id", "n_100m", "n_500m", "n_2km", quality.alias("quality"), F.coalesce("ids", F.array().cast("array<long>")).alias("ids"))
+    return n.select("id", "n_100m", "n_500m", "n_2km", quality.alias("quality"), F.coalesce(F.when(F.col("n_100m") > 0, F.col("ids100")).otherwise(F.col("ids500")), F.array().cast("array<long>")).alias("ids"))
 
 
 _STATUS = "CASE WHEN coalesce(change, -1) >= 0.15 THEN 'changed' WHEN error IS NOT NULL THEN 'error' WHEN coalesce(footprint, 0) < 10 OR change IS NULL THEN 'ambiguous' ELSE 'stable' END"
@@ -243,15 +243,18 @@ def roads(t):
     return t.raw("nation").select(F.col("n_nationkey").alias("road"), (F.col("n_nationkey") * 0.08 - 100.0).alias("x"), (F.col("n_nationkey") * 0.08 + 30.0).alias("y"))
 
 
+def road_segments(t):
+    """The lines of roads() as segments far beyond all points."""
+    r = roads(t)
+    up = r.select(F.col("x").alias("xa"), F.lit(29.0).alias("ya"), F.col("x").alias("xb"), F.lit(33.0).alias("yb"))
+    return up.union(r.select(F.lit(-101.0), F.col("y"), F.lit(-97.0), F.col("y")))
+
+
 def cut_edges(t, radius: float):
     """Pairs of buildings within radius whose joining line no road crosses: (a, b)."""
     b = t.buildings().select("id", "lat", "lon")
     ends = near_pairs(b, radius).join(b.select(F.col("id").alias("a"), F.col("lat").alias("ya"), F.col("lon").alias("xa")), "a").join(b.select(F.col("id").alias("b"), F.col("lat").alias("yb"), F.col("lon").alias("xb")), "b")
-    r = F.broadcast(roads(t))  # one row for each nation: 25
-    low, high = F.lit(20.0), F.lit(40.0)
-    left, right = F.lit(-110.0), F.lit(-90.0)
-    hit = S.crosses(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb"), F.col("x"), low, F.col("x"), high) | S.crosses(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb"), left, F.col("y"), right, F.col("y"))
-    return ends.join(r, hit, "left_anti").select("a", "b")
+    return S.uncrossed(ends, road_segments(t), 0.05).select("a", "b")
 
 
 PAIRS = "e AS (SELECT p.id AS a, q.id AS b, p.lon AS xa, p.lat AS ya, q.lon AS xb, q.lat AS yb FROM b p JOIN b q ON p.id < q.id AND abs(p.lat - q.lat) < 0.03 AND " + hav("p.lat", "p.lon", "q.lat", "q.lon") + " <= {r})"

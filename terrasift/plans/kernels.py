@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import kernels as K
 from ..functions.geometry import albers
 from ..functions.scalar import tidy
-from ..operators import areas, learning, metrics
+from ..operators import areas, learning, metrics, rasters
 from ..operators.graph import greedy_dedup
 from ..sources import readers, scratch, sinks
 from ..streaming import live
-from .base import query
+from .base import query, sql
 from .joins import roads
 from .scalars import rings
 
@@ -26,9 +26,14 @@ def ring_column():
     return F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in RING])
 
 
-@query("g02_shape_features")
+@query("g02_shape_features", sql("b", "SELECT id, CASE WHEN id % 4 = 3 THEN 0.0e0 ELSE 0.75e0 END AS rectangularity, CASE WHEN id % 4 = 3 THEN 0.0e0 ELSE id % 4 + 1.0e0 END AS aspect_ratio, CASE WHEN id % 4 = 3 THEN 0.0e0 ELSE id % 4 + 1.0e0 END AS elongation FROM b"))
 def _(t):
-    s = t.buildings().withColumn("ring", rings()).select("id", K.shape_features_udf("ring").alias("s"))
+    """Trapezia of three quarters of their box, one to three times as high as wide (their least box is upright); every fourth ring crosses itself."""
+    b = t.raw("part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("p_size"), (F.col("p_partkey") % 4 + 1).cast("double").alias("k"))
+    at = lambda x, y: F.struct((F.col("p_size") * x).alias("x"), (F.col("p_size") * F.col("k") * y).alias("y"))
+    bow = F.array(at(0.0, 0.0), at(1.0, 1.0), at(1.0, 0.0), at(0.0, 1.0))
+    ring = F.when(F.col("id") % 4 == 3, bow).otherwise(F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 1.0), at(0.5, 1.0)))
+    s = b.select("id", K.shape_features_udf(ring).alias("s"))
     return s.select("id", *[tidy(F.col("s")[c]).alias(c) for c in ("rectangularity", "aspect_ratio", "elongation")])
 
 
@@ -74,9 +79,14 @@ def _(t):
 
 @query("c06_facilities")
 def _(t):
-    b = t.buildings().select("id", "lat", "lon", (F.floor(F.col("lat") * 4) * 1000 + F.floor(F.col("lon") * 4)).cast("long").alias("parent"))
-    f = areas.facilities(b, "parent", 500.0, 6000, 3)
-    return f.select("parent", "cluster", "n", tidy(F.col("lat")).alias("lat"), tidy(F.col("lon")).alias("lon"), "source")
+    """Candidates are half-degree cells, or a tenth as wide for every third supplier; singletons are the suppliers of nation 0."""
+    s = t.candidates()
+    half = F.when(F.col("id") % 3 == 0, 0.005).otherwise(0.25)
+    c = s.where("state != 0").select(F.col("id").alias("candidate_id"), "lat", "lon", *[(F.col(k) + f * half).alias(f"{k}_{m}") for k in ("lat", "lon") for m, f in (("min", -1), ("max", 1))])
+    b = t.buildings().select("id", "lat", "lon", F.col("area").alias("approx_area_m2"), F.when(F.col("class") == "large", "warehouse").otherwise(F.col("class")).alias("class"), "subtype", "name", F.when(F.col("id") % 3 == 0, F.col("id") % 30 / 2.0).alias("height"), (F.col("id") % 9).cast("int").alias("num_floors"))
+    alone = s.where("state = 0").select(F.col("id").alias("candidate_id"), "lat", "lon")
+    f = areas.facilities(c, b, alone, eps=9000.0, min_samples=4)
+    return f.select(*[tidy(F.col(k)).alias(k) if k in ("lat", "lon") else k for k in f.columns])
 
 
 def labelled(t):
@@ -145,6 +155,20 @@ def _(t):
     return per_raster(t, f, "id long, pixels double")
 
 
+@query("s12_raster_window", sql("a", """SELECT id, CASE WHEN c1 > c0 AND r1 > r0 THEN c0 END AS col, CASE WHEN c1 > c0 AND r1 > r0 THEN r0 END AS row, CASE WHEN c1 > c0 AND r1 > r0 THEN c1 - c0 END AS cols, CASE WHEN c1 > c0 AND r1 > r0 THEN r1 - r0 END AS rows FROM (
+SELECT id, CAST(greatest(0, round_even(l, 0)) AS INTEGER) AS c0, CAST(greatest(0, round_even(u, 0)) AS INTEGER) AS r0, CAST(least(150, round_even(l + w, 0)) AS INTEGER) AS c1, CAST(least(150, round_even(u + w2, 0)) AS INTEGER) AS r1 FROM (
+SELECT id, ((lon - 0.02e0) - (-100.0e0)) / 0.0125e0 AS l, (32.0e0 - (lat + 0.02e0)) / 0.0125e0 AS u, ((lon + 0.02e0) - (lon - 0.02e0)) / 0.0125e0 AS w, ((lat + 0.02e0) - (lat - 0.02e0)) / 0.0125e0 AS w2 FROM a))"""))
+def _(t):
+    boxed = t.anchors().select("id", (F.col("lon") - 0.02).alias("x0"), (F.col("lat") - 0.02).alias("y0"), (F.col("lon") + 0.02).alias("x1"), (F.col("lat") + 0.02).alias("y1"))
+    w = rasters.raster_window(("x0", "y0", "x1", "y1"), -100.0, 32.0, 0.0125, 150, 150)
+    return boxed.select("id", w.alias("w")).select("id", "w.col", "w.row", "w.cols", "w.rows")
+
+
+@query("s12_resampled", sql("v", "SELECT id, list_transform(range(0, 25), lambda i: v[CAST(floor((i // 5 + 0.5e0) * 8 / 5) * 8 + floor((i % 5 + 0.5e0) * 8 / 5) AS INTEGER) + 1]) AS pixels FROM v"))
+def _(t):
+    return t.vectors().select("id", rasters.resampled(F.col("v"), 8, 8, 5, 5).alias("pixels"))
+
+
 @query("r11_square_resize")
 def _(t):
     return per_raster(t, lambda a: (round(float(K.lanczos_square(a[None, :, :6], 5).sum()), 6),), "id long, total double")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as V
 from ..functions import scalar as X
 from ..functions.scalar import tidy
+from ..operators import areas
 from ..operators import graph as C
 from ..operators import incremental as I
 from ..operators import metrics as M
@@ -18,7 +19,7 @@ from ..operators.predicates import at_least
 from ..operators.ranking import best
 from .base import haversine_sql as hav
 from .base import query, sql, tidy_sql
-from .joins import PAIRS, ROADS, UNCUT, cut_edges, targets
+from .joins import targets
 from .joins import _COS as COS
 
 MASK = "i // 8 BETWEEN 2 AND 5 AND i % 8 BETWEEN 2 AND 5"
@@ -37,11 +38,26 @@ def _(t):
     return m.select("label", F.transform("v", lambda x: tidy(x)).alias("pixels"))
 
 
-@query("r02_masked_composite", sql("v", f"SELECT label, list(m ORDER BY i) AS pixels FROM (SELECT label, i, {tidy_sql('median(x) FILTER (WHERE (id + i) % 3 <> 0)')} AS m FROM px GROUP BY label, i) GROUP BY label", PX))
+#: Three bands of a scene: clear pixels only; the blue of label 9 is flat, scenes with id % 10 = 0 are nearly all cloud.
+_SCENE = "CASE WHEN (id + i) % 3 <> 0 AND (id % 10 <> 0 OR i < 12) THEN {x} END"
+_COMP = f"""sc AS (SELECT label, id, i, band, CASE band WHEN 'red' THEN {_SCENE.format(x='x * 100')} WHEN 'green' THEN {_SCENE.format(x='x * 50 + 10')} ELSE {_SCENE.format(x='CASE WHEN label = 9 THEN 5.0e0 ELSE x * x * 100 END')} END AS p FROM px, (SELECT unnest(['red', 'green', 'blue']) AS band)),
+ok AS (SELECT label, id FROM sc WHERE band = 'red' GROUP BY label, id HAVING count(p) >= 20),
+md AS (SELECT sc.label, band, i, median(p) AS m FROM sc JOIN ok ON sc.id = ok.id AND sc.label IN (SELECT label FROM ok GROUP BY label HAVING count(*) >= 2) GROUP BY sc.label, band, i),
+fl AS (SELECT label, band, i, coalesce(m, median(m) OVER (PARTITION BY label, band), 0) AS m FROM md),
+gd AS (SELECT label FROM (SELECT label, band, quantile_cont(m, 0.99) - quantile_cont(m, 0.01) AS span FROM fl GROUP BY 1, 2) GROUP BY 1 HAVING min(span) >= 1)"""
+
+
+_THREE = ", ".join(f"list({tidy_sql('m')} ORDER BY i) FILTER (WHERE band = '{b}') AS {b}" for b in ("red", "green", "blue"))
+
+
+@query("r02_masked_composite", sql("v", f"SELECT label, {_THREE} FROM fl WHERE label IN (SELECT label FROM gd) GROUP BY label", PX + ",\n" + _COMP))
 def _(t):
-    clear = F.transform("v", lambda x, i: F.when((F.col("id") + i) % 3 != 0, x))
-    m = R.pixel_median(t.vectors().withColumn("v", clear), "label", "v")
-    return m.select("label", F.transform("v", lambda x: tidy(x)).alias("pixels"))
+    at = lambda x: (F.col("id") + x) % 3 != 0
+    band = lambda f: F.transform("v", lambda x, i: F.when(at(i) & ((F.col("id") % 10 != 0) | (i < 12)), f(x)))
+    blue = lambda x: F.when(F.col("label") == 9, 5.0).otherwise(x * x * 100)
+    scenes = t.vectors().select("label", band(lambda x: x * 100).alias("red"), band(lambda x: x * 50 + 10).alias("green"), band(blue).alias("blue"))
+    made = R.composite(scenes, "label", ["red", "green", "blue"], least_pixels=20, least_scenes=2)
+    return made.select("label", *[F.transform(b, lambda x: tidy(x)).alias(b) for b in ("red", "green", "blue")])
 
 
 @query("r03_stretch", sql("v", f"SELECT id, list_transform(v, lambda x: {tidy_sql('least(greatest((x - lo) / (hi - lo), 0.0e0), 1.0e0)', 5)}) AS pixels FROM (SELECT v.id, v.v, q.lo, q.hi FROM v JOIN (SELECT id, quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM px GROUP BY id) q ON v.id = q.id)", PX))
@@ -50,17 +66,19 @@ def _(t):
     return v.select("id", F.transform(R.stretch(F.col("v"), F.col("lo"), F.col("hi")), lambda x: tidy(x, 5)).alias("pixels"))
 
 
-@query("r04_window_mode", sql("v", """SELECT id, i, mode FROM (SELECT a.id, a.i, b.c AS mode, row_number() OVER (PARTITION BY a.id, a.i ORDER BY count(*) DESC, b.c) AS r FROM q a JOIN q b ON a.id = b.id AND abs(a.i // 8 - b.i // 8) <= 1 AND abs(a.i % 8 - b.i % 8) <= 1 GROUP BY a.id, a.i, b.c) WHERE r = 1""",
-    PX + ",\nq AS (SELECT id, CAST(i AS INTEGER) AS i, CASE WHEN x < -0.05e0 THEN 0 WHEN x < 0.05e0 THEN 1 ELSE 2 END AS c FROM px WHERE id < 60)"))
-def _(t):
-    kinds = F.transform("v", lambda x: F.when(x < -0.05, 0).when(x < 0.05, 1).otherwise(2))
-    return R.window_mode(t.vectors().where("id < 60").withColumn("c", kinds), "id", "c", 8, 1)
+_KIND = "q AS (SELECT id, CAST(i AS INTEGER) AS i, CASE WHEN x < -0.05e0 THEN 0 WHEN x < 0.2e0 THEN 1 ELSE 2 END AS c FROM px)"
+_MODE = "m{k} AS (SELECT id, i, mode FROM (SELECT a.id, a.i, b.c AS mode, row_number() OVER (PARTITION BY a.id, a.i ORDER BY count(*) DESC, b.c) AS r FROM q a JOIN q b ON a.id = b.id AND abs(a.i // 8 - b.i // 8) <= {k} AND abs(a.i % 8 - b.i % 8) <= {k} GROUP BY a.id, a.i, b.c) WHERE r = 1)"
+_FAR = "d AS (SELECT a.id, a.i, sqrt(min((a.i // 8 - b.i // 8) * (a.i // 8 - b.i // 8) + (a.i % 8 - b.i % 8) * (a.i % 8 - b.i % 8))) * 30 AS m FROM q a JOIN q b ON a.id = b.id AND b.c = 2 GROUP BY a.id, a.i)"
 
 
-@query("r04_window_mode_all")
+@query("r04_window_mode", sql("v", f"SELECT m1.id, m1.i, m1.mode AS mode_3x3, m2.mode AS mode_5x5, m3.mode AS mode_7x7, {tidy_sql('d.m')} AS dist_m FROM m1 JOIN m2 ON m1.id = m2.id AND m1.i = m2.i JOIN m3 ON m1.id = m3.id AND m1.i = m3.i LEFT JOIN d ON m1.id = d.id AND m1.i = d.i",
+    ",\n".join([PX, _KIND, *[_MODE.format(k=k) for k in (1, 2, 3)], _FAR])))
 def _(t):
-    kinds = F.transform("v", lambda x: F.when(x < -0.05, 0).when(x < 0.05, 1).otherwise(2))
-    return R.window_mode(t.vectors().withColumn("c", kinds), "id", "c", 8, 1)
+    kinds = t.vectors().select("id", F.transform("v", lambda x: F.when(x < -0.05, 0).when(x < 0.2, 1).otherwise(2)).alias("c"))
+    modes = [R.window_mode(F.col("c"), 8, 8, reach).alias(f"mode_{2 * reach + 1}x{2 * reach + 1}") for reach in (1, 2, 3)]
+    made = kinds.select("id", *modes, R.distance_to(F.transform("c", lambda x: x == 2), 8, 8).alias("dist_m"))
+    each = made.select("id", F.posexplode(F.arrays_zip("mode_3x3", "mode_5x5", "mode_7x7", "dist_m")).alias("i", "z"))
+    return each.select("id", "i", "z.mode_3x3", "z.mode_5x5", "z.mode_7x7", tidy(F.col("z.dist_m")).alias("dist_m"))
 
 
 _IN = f"avg(x + 1) FILTER (WHERE {MASK})"
@@ -79,10 +97,33 @@ def _(t):
     return t.vectors().select("id", tidy(F.abs(late - early)).alias("change"), F.size(F.filter(square(), lambda m: m)).cast("long").alias("footprint"))
 
 
-@query("r08_masked_statistics", sql("v", f"SELECT id, {tidy_sql('avg(x)')} AS mean, {tidy_sql('stddev_pop(x)', 5)} AS std FROM px WHERE {MASK} GROUP BY id", PX))
+#: Four bands of two epochs of a vector's raster, as functions and as SQL.
+EPOCHS = {
+    "baseline": {"red": (lambda x: x + 1, "x + 1"), "green": (lambda x: x * x + 1, "x * x + 1"), "blue": (lambda x: 1.5 - x, "1.5e0 - x"), "nir": (lambda x: x * 0.5 + 2, "x * 0.5e0 + 2")},
+    "recent": {"red": (lambda x: 1.2 - x, "1.2e0 - x"), "green": (lambda x: x + 2, "x + 2"), "blue": (lambda x: x * 0.5 + 1, "x * 0.5e0 + 1"), "nir": (lambda x: x * 3, "x * 3")},
+}
+
+
+def _near(dy, dx):
+    return f"p[CAST(least(greatest(i // 8 + {dy}, 0), 7) * 8 + least(greatest(i % 8 + {dx}, 0), 7) + 1 AS INTEGER)]"
+
+
+_GX = f"({_near(-1, 1)} + 2 * {_near(0, 1)} + {_near(1, 1)} - {_near(-1, -1)} - 2 * {_near(0, -1)} - {_near(1, -1)})"
+_GY = f"({_near(1, -1)} + 2 * {_near(1, 0)} + {_near(1, 1)} - {_near(-1, -1)} - 2 * {_near(-1, 0)} - {_near(-1, 1)})"
+_BB = "bb AS (" + " UNION ALL ".join(f"SELECT id, '{e}' AS e, '{b}' AS b, list_transform(v, lambda x: {x}) AS p FROM v" for e, bands in EPOCHS.items() for b, (_f, x) in bands.items()) + ")"
+_BP = f"bp AS (SELECT id, e, b, i, p[CAST(i + 1 AS INTEGER)] AS x, sqrt({_GX} * {_GX} + {_GY} * {_GY}) AS edge FROM bb, (SELECT unnest(range(0, 64)) AS i) WHERE {MASK})"
+_BS = "bs AS (SELECT id, e, b, avg(x) AS mean, stddev_pop(x) AS std, avg(edge) AS edge FROM bp GROUP BY 1, 2, 3)"
+_NV = "nv AS (SELECT r.id, r.e, avg((n.x - r.x) / (n.x + r.x)) FILTER (WHERE n.x + r.x > 1e-6) AS ndvi FROM bp r JOIN bp n ON r.id = n.id AND r.e = n.e AND r.i = n.i AND r.b = 'red' AND n.b = 'nir' GROUP BY 1, 2)"
+
+
+@query("r08_masked_statistics", sql("v", "SELECT bs.id, " + ", ".join(f"{tidy_sql(f'max({s}) FILTER (WHERE bs.e = {chr(39)}{e}{chr(39)} AND b = {chr(39)}{b}{chr(39)})', 5)} AS {s}_{b}_{e}" for e in EPOCHS for b in EPOCHS[e] for s in ("mean", "std", "edge"))
+    + ", " + ", ".join(f"{tidy_sql(f'max(ndvi) FILTER (WHERE bs.e = {chr(39)}{e}{chr(39)})', 5)} AS ndvi_{e}, CAST(16 AS BIGINT) AS footprint_pixels_{e}" for e in EPOCHS) + " FROM bs JOIN nv ON bs.id = nv.id AND bs.e = nv.e GROUP BY bs.id", ",\n".join([_BB, _BP, _BS, _NV])))
 def _(t):
-    inside = R.masked(F.col("v"), square())
-    return t.vectors().select("id", tidy(V.mean(inside)).alias("mean"), tidy(V.stdev(inside), 5).alias("std"))
+    columns = {}
+    for epoch, bands in EPOCHS.items():
+        made = {b: F.transform("v", f) for b, (f, _) in bands.items()}
+        columns |= R.band_statistics(made, square(), 8, 8, "red", "nir", f"_{epoch}")
+    return t.vectors().select("id", *[(c if k.startswith("footprint") else tidy(c, 5)).alias(k) for k, c in columns.items()])
 
 
 @query("r09_nodata_statistics", sql("v", f"SELECT id, count(*) AS n, {tidy_sql('avg(x)')} AS mean, {tidy_sql('median(x)')} AS med, {tidy_sql('max(x)')} AS top, {tidy_sql('quantile_cont(x, 0.25)')} AS p25, {tidy_sql('quantile_cont(x, 0.75)')} AS p75 FROM px WHERE (id + i) % 5 <> 0 GROUP BY id", PX))
@@ -92,11 +133,19 @@ def _(t):
     return t.vectors().select("id", s[0].alias("n"), tidy(s[1]).alias("mean"), tidy(s[3]).alias("med"), tidy(s[4]).alias("top"), tidy(s[5]).alias("p25"), tidy(s[6]).alias("p75"))
 
 
-@query("r10_joint_validity", sql("v", f"SELECT id, {tidy_sql('avg(x)')} AS a, {tidy_sql('avg(-x * x)')} AS b, count(*) AS n FROM px WHERE {MASK} AND x > -0.1e0 AND x * x < 0.03e0 GROUP BY id", PX))
+SIX = {
+    "blue": (lambda x: x, "x"), "green": (lambda x: x * 2, "x * 2"), "red": (lambda x: x + 1, "x + 1"), "nir08": (lambda x: 1 - x, "1 - x"), "swir16": (lambda x: x * x, "x * x"), "swir22": (lambda x: x / 2, "x / 2"),
+}
+_MEANS = ", ".join(f"{tidy_sql(f'avg({x})')} AS {b}" for b, (_f, x) in SIX.items())
+_HAS = {b: f"(id + i + {k}) % 11 <> 0" for k, b in enumerate(SIX)}
+
+
+@query("r10_joint_validity", sql("v", f"SELECT id, count(*) AS footprint_pixels, {_MEANS} FROM px WHERE {MASK} AND {' AND '.join(_HAS.values())} GROUP BY id", PX))
 def _(t):
-    both = F.filter(R.masked(F.col("v"), square()), lambda x: (x > -0.1) & (x * x < 0.03))
-    rows = t.vectors().withColumn("ok", both).where(F.size("ok") > 0)
-    return rows.select("id", tidy(V.mean(F.col("ok"))).alias("a"), tidy(V.mean(F.transform("ok", lambda x: -x * x))).alias("b"), F.size("ok").cast("long").alias("n"))
+    holed = lambda f, k: F.transform("v", lambda x, i: F.when((F.col("id") + i + k) % 11 != 0, f(x)))
+    bands = {b: holed(f, k) for k, (b, (f, _)) in enumerate(SIX.items())}
+    made = t.vectors().select("id", *[c.alias(k) for k, c in R.joint_means(bands, square()).items()]).where("footprint_pixels > 0")
+    return made.select("id", "footprint_pixels", *[tidy(F.col(b)).alias(b) for b in SIX])
 
 
 @query("r12_mosaic", sql("v", f"SELECT label, list(m ORDER BY i) AS pixels FROM (SELECT label, i, arg_min({tidy_sql('x')}, id) FILTER (WHERE (id + i) % 4 <> 0) AS m FROM px GROUP BY label, i) GROUP BY label", PX))
@@ -117,13 +166,7 @@ def _(t):
     return t.buildings().select("id", F.when(side > 0.0008, "too large").alias("error"))
 
 
-@query("r16_two_epoch_ratio", sql("v", f"SELECT id, {tidy_sql(_IN + ' / ' + _OUT)} AS before, {tidy_sql('avg(x + 2) FILTER (WHERE ' + MASK + ') / avg(x + 2) FILTER (WHERE NOT (' + MASK + '))')} AS after FROM px WHERE id < 50 GROUP BY id", PX))
-def _(t):
-    at = lambda k: tidy(R.inside_ratio(F.transform("v", lambda x: x + k), square()))
-    return t.vectors().where("id < 50").select("id", at(1).alias("before"), at(2).alias("after"))
-
-
-@query("r16_two_epoch_ratio_all")
+@query("r16_two_epoch_ratio", sql("v", f"SELECT id, {tidy_sql(_IN + ' / ' + _OUT)} AS before, {tidy_sql('avg(x + 2) FILTER (WHERE ' + MASK + ') / avg(x + 2) FILTER (WHERE NOT (' + MASK + '))')} AS after FROM px GROUP BY id", PX))
 def _(t):
     at = lambda k: tidy(R.inside_ratio(F.transform("v", lambda x: x + k), square()))
     return t.vectors().select("id", at(1).alias("before"), at(2).alias("after"))
@@ -285,17 +328,31 @@ def _(t):
     return C.connected_components(edges)
 
 
-@query("c07_road_cut_clusters", recursive(sql("b", "SELECT comp AS cluster, count(*) AS n, CAST(floor(sum(area) + 0.5) AS BIGINT) AS area FROM b JOIN lb ON b.id = lb.node GROUP BY comp HAVING sum(area) >= 4000", ",\n".join([ROADS, PAIRS.format(r=3300), UNCUT, CC.format(e="u")]))))
+#: Buildings on a plane in metres, with box sides of twice p_size.
+_M = "m AS (SELECT id, class, area, (id % 3) AS parent, (lon + 100) * 95000.0e0 AS x, (lat - 30) * 110540.0e0 AS y, h * 100000.0e0 AS s, abs((xmax - xmin) * 111320.0e0 * cos(radians((ymin + ymax) / 2)) * (ymax - ymin) * 111320.0e0) AS box FROM b)"
+_GE = """g0 AS (SELECT p.id AS a, q.id AS b, p.x AS xa, p.y AS ya, q.x AS xb, q.y AS yb, greatest(0.0e0, greatest(p.x - p.s, q.x - q.s) - least(p.x + p.s, q.x + q.s)) AS gx, greatest(0.0e0, greatest(p.y - p.s, q.y - q.s) - least(p.y + p.s, q.y + q.s)) AS gy
+  FROM m p JOIN m q ON p.id < q.id AND p.parent = q.parent AND abs(p.x - q.x) < 6000 AND abs(p.y - q.y) < 6000),
+ge AS (SELECT * FROM g0 WHERE sqrt(gx * gx + gy * gy) <= 5000),
+rm AS (SELECT n_nationkey * 7600.0e0 AS x, n_nationkey * 8800.0e0 AS y FROM nation),
+u AS (SELECT a, b FROM ge WHERE NOT EXISTS (SELECT 1 FROM rm WHERE (least(xa, xb) <= rm.x AND rm.x <= greatest(xa, xb)) OR (least(ya, yb) <= rm.y AND rm.y <= greatest(ya, yb))))"""
+
+
+@query("c07_road_cut_clusters", recursive(sql("b", """SELECT cluster, count(*) AS n, CAST(floor(sum(area) + 0.5) AS BIGINT) AS area FROM (SELECT m.*, coalesce(lb.comp, m.id) AS cluster FROM m LEFT JOIN lb ON m.id = lb.node) GROUP BY cluster
+HAVING (max(area) >= 4000 OR bool_or(coalesce(class = 'promo', false))) AND sum(box) >= 3000""", ",\n".join([_M, _GE, CC.format(e="u")]))))
 def _(t):
-    comps = C.connected_components(cut_edges(t, 3300)).withColumnRenamed("node", "id")
-    sums = comps.join(t.buildings().select("id", "area"), "id").groupBy(F.col("comp").alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("s"))
-    return sums.where("s >= 4000").select("cluster", "n", F.floor(F.col("s") + 0.5).cast("long").alias("area"))
+    b = t.buildings().withColumns({"parent": F.col("id") % 3, "x": (F.col("lon") + 100) * 95000.0, "y": (F.col("lat") - 30) * 110540.0, "box": X.bbox_area_m2("xmin", "ymin", "xmax", "ymax")})
+    half = t.raw("part").select(F.col("p_partkey").alias("id"), (F.col("p_size") / 100000.0 * 100000.0).alias("s"))
+    m = b.join(half, "id").select("id", "class", "area", "parent", "box", "x", "y", (F.col("x") - F.col("s")).alias("xmin"), (F.col("y") - F.col("s")).alias("ymin"), (F.col("x") + F.col("s")).alias("xmax"), (F.col("y") + F.col("s")).alias("ymax"))
+    n = t.raw("nation").select((F.col("n_nationkey") * 7600.0).alias("x"), (F.col("n_nationkey") * 8800.0).alias("y"))
+    lines = n.select(F.col("x").alias("xa"), F.lit(-10000.0).alias("ya"), F.col("x").alias("xb"), F.lit(250000.0).alias("yb")).union(n.select(F.lit(-10000.0), F.col("y"), F.lit(250000.0), F.col("y")))
+    kept = areas.anchored(areas.road_cut_clusters(m, lines, 5000.0), ("promo",), 4000.0, box_area="box", total_m2=3000.0)
+    return kept.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.floor(F.sum("area") + 0.5).cast("long").alias("area"))
 
 
-@query("c08_cell_groups", sql("b", "SELECT y, x, n, row_number() OVER (ORDER BY m DESC, y, x) AS position FROM (SELECT CAST(floor(lat / 0.5e0) AS BIGINT) AS y, CAST(floor(lon / 0.5e0) AS BIGINT) AS x, count(*) AS n, floor(avg(lat) * 1e6 + 0.5) / 1e6 AS m FROM b GROUP BY 1, 2)"))
+@query("c08_cell_groups", sql("b", "SELECT cy, cx, n, row_number() OVER (ORDER BY m DESC, cy, cx) AS position FROM (SELECT CAST(floor((y - y0) / 40000.0e0) AS BIGINT) AS cy, CAST(floor((x - x0) / 40000.0e0) AS BIGINT) AS cx, count(*) AS n, floor(avg(y) * 1e6 + 0.5) / 1e6 AS m FROM (SELECT (lon + 100) * 95000.0e0 AS x, (lat - 30) * 110540.0e0 AS y FROM b), (SELECT min((lon + 100) * 95000.0e0) AS x0, min((lat - 30) * 110540.0e0) AS y0 FROM b) GROUP BY 1, 2)"))
 def _(t):
-    g = t.buildings().groupBy(X.grid_cell(F.col("lat"), 0.5).alias("y"), X.grid_cell(F.col("lon"), 0.5).alias("x")).agg(F.count(F.lit(1)).alias("n"), tidy(F.avg("lat")).alias("m"))
-    return g.select("y", "x", "n", F.row_number().over(Window.orderBy(F.desc("m"), "y", "x")).cast("long").alias("position"))
+    b = t.buildings().select(((F.col("lon") + 100) * 95000.0).alias("x"), ((F.col("lat") - 30) * 110540.0).alias("y"))
+    return areas.cell_groups(b, "x", "y", 40000.0)
 
 
 _HIT = "EXISTS (SELECT 1 FROM {o} WHERE " + hav("a.lat", "a.lon", "{o}.lat", "{o}.lon") + " <= {r})"

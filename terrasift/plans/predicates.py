@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.scalar import change_status, tidy
 from ..operators import predicates as P
+from ..operators.incremental import per_chunk
+from ..operators.spatial import in_region
+from ..sources import readers, scratch, sinks
 from .base import query, sql, tidy_sql
 
 KINDS, DROP = ["large", "economy"], ["promo", "medium"]
@@ -26,15 +34,174 @@ def _(t):
     return t.raw("orders").where(F.col("o_totalprice").between(1000, 200000) & F.col("o_orderkey").between(100, 9000)).select("o_orderkey", "o_totalprice")
 
 
-@query("s04_multi_file_scan", "SELECT count(*) AS n, count(DISTINCT r_name) AS regions FROM (SELECT r_name FROM region UNION ALL SELECT r_name FROM region)")
+def folder(t, name: str) -> str:
+    return f"{scratch.folder(t.spark)}/terrasift/{name}-{uuid.uuid4().hex}"
+
+
+@query("s04_multi_file_scan", "SELECT s_nationkey AS state, count(*) AS n, min(s_suppkey) AS least FROM supplier WHERE s_suppkey % 4 < 3 GROUP BY 1")
+def _(t):
+    """Three of four files of a folder, by a pattern, with one SQL statement."""
+    path = folder(t, "multi")
+    sinks.chunked(t.raw("supplier").select("s_suppkey", "s_nationkey", (F.col("s_suppkey") % 4).alias("part")), path, "part")
+    return t.spark.sql(f"SELECT s_nationkey AS state, count(*) AS n, min(s_suppkey) AS least FROM parquet.`{path}/part=[0-2]` GROUP BY s_nationkey")
+
+
+@query("s05_scan_with_file_stem", "SELECT CASE s_suppkey % 3 WHEN 0 THEN '14RNV' ELSE '15RTP' END AS mgrs_tile, s_suppkey FROM supplier WHERE s_suppkey % 3 < 2")
 def _(t):
-    return t.spark.read.parquet(f"{t.sf_dir}/region.parquet", f"{t.sf_dir}/region.parquet").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("r_name").alias("regions"))
+    """Chunks of a folder, without the embeddings beside them."""
+    path = folder(t, "chunks")
+    for k, name in enumerate(("14RNV", "15RTP", "15RTP_emb")):
+        sinks.one_file(t.raw("supplier").where(F.col("s_suppkey") % 3 == k).select("s_suppkey"), f"{path}/{name}.parquet")
+    return readers.chunks(t.spark, f"{path}/*.parquet").select("mgrs_tile", "s_suppkey")
 
 
-@query("s05_scan_with_file_stem", "SELECT 'supplier' AS stem, s_suppkey, s_acctbal FROM supplier WHERE s_acctbal >= 500")
+@query("s07_json_document", "SELECT n_nationkey AS id, n_name AS name, n_regionkey % 2 = 0 AS kept FROM nation")
 def _(t):
-    stem = F.regexp_extract("_metadata.file_path", r"([^/]+)\.parquet", 1)
-    return t.raw("supplier").where("s_acctbal >= 500").select(stem.alias("stem"), "s_suppkey", "s_acctbal")
+    path = folder(t, "queue") + ".json"
+    item = F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), (F.col("n_regionkey") % 2 == 0).alias("kept")))
+    rows = t.raw("nation").select(item.alias("j")).collect()  # 25 rows
+    sinks.put(t.spark, path, "[\n" + ",\n".join(r.j for r in rows) + "\n]")
+    return readers.json_document(t.spark, path, "id long, name string, kept boolean").select("id", "name", "kept")
+
+
+@query("s09_region_union", sql("b", "SELECT id FROM b WHERE (lat > 30.1e0 AND lat < 30.9e0 AND lon > -99.9e0 AND lon < -99.1e0 AND NOT (lat > 30.4e0 AND lat < 30.6e0 AND lon > -99.6e0 AND lon < -99.4e0)) OR (lat > 30.5e0 AND lat < 31.5e0 AND lon > -99.3e0 AND lon < -98.3e0) OR (lat > 31.6e0 AND lat < 31.8e0 AND lon > -98.6e0 AND lon < -98.2e0)"))
+def _(t):
+    """The union of a polygon with a hole and a multipolygon that overlaps it; a third feature is left out by name."""
+    box = lambda x0, y0, x1, y1: [[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]
+    shapes = [("A", "Polygon", [box(-99.9, 30.1, -99.1, 30.9), box(-99.6, 30.4, -99.4, 30.6)]), ("B", "MultiPolygon", [[box(-99.3, 30.5, -98.3, 31.5)], [box(-98.6, 31.6, -98.2, 31.8)]]), ("Alaska", "Polygon", [box(-100.0, 30.0, -98.0, 32.0)])]
+    path = folder(t, "states") + ".geojson"
+    sinks.put(t.spark, path, json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": n}, "geometry": {"type": k, "coordinates": c}} for n, k, c in shapes]}))
+    return in_region(t.buildings().select("id", "lat", "lon"), readers.region(t.spark, path, ["Alaska", "Hawaii"])).select("id")
+
+
+@query("s10_road_files", "SELECT CASE n_nationkey % 3 WHEN 0 THEN 'motorway' ELSE 'primary' END AS fclass, n_nationkey + 0.0e0 AS xa, j + 0.0e0 AS ya, n_nationkey + 1.0e0 AS xb, j + 0.5e0 AS yb FROM nation, (SELECT unnest([0, 1]) AS j) WHERE n_nationkey % 3 < 2")
+def _(t):
+    def read(uri):
+        k = int(uri.rsplit("-", 1)[1])
+        return [(("motorway", "primary", "track")[k % 3], float(k), float(j), k + 1.0, j + 0.5) for j in range(2)]
+
+    files = t.raw("nation").select(F.concat(F.lit("zip://roads-"), F.col("n_nationkey").cast("string")).alias("uri"))
+    return readers.lines(files, read, ["motorway", "primary"])
+
+
+@query("s13_scene_search", "SELECT key, scene, cloud, error FROM (SELECT key, CAST(scene AS VARCHAR) AS scene, cloud, CAST(NULL AS VARCHAR) AS error, row_number() OVER (PARTITION BY key ORDER BY coalesce(cloud, 100), j) AS r FROM (SELECT s_suppkey AS key, j, s_suppkey * 10 + j AS scene, CASE WHEN (s_suppkey + j) % 9 <> 0 THEN CAST((s_suppkey * 7 + j * 13) % 100 AS DOUBLE) END AS cloud FROM supplier, (SELECT unnest(range(0, 5)) AS j)) WHERE key % 11 <> 0 AND key % 13 <> 0) WHERE r <= 2 UNION ALL SELECT s_suppkey, NULL, NULL, 'OSError: busy' FROM supplier WHERE s_suppkey % 11 = 0 AND s_suppkey % 13 <> 0")
+def _(t):
+    """Two clearest scenes of each key; some keys have none, some searches fail to the end."""
+
+    def search(key):
+        if key % 13 == 0:
+            return []
+        if key % 11 == 0:
+            raise OSError("busy")
+        return [(str(key * 10 + j), None if (key + j) % 9 == 0 else float((key * 7 + j * 13) % 100)) for j in range(5)]
+
+    return readers.searched(t.raw("supplier").select(F.col("s_suppkey").alias("key")), search, 2, attempts=2, first_wait=0.0)
+
+
+@query("s14_discovery", """SELECT state, year, res FROM (SELECT state, year, res, row_number() OVER (PARTITION BY state ORDER BY year DESC, CASE res WHEN '60cm' THEN 1 WHEN '100cm' THEN 2 ELSE 3 END, res) AS r FROM (
+SELECT state, year, res FROM (SELECT 's' || s_nationkey AS state, 2015 + s_suppkey % 8 AS year, (['60cm', '100cm', '30cm'])[s_suppkey % 3 + 1] AS res, s_suppkey % 5 AS kind FROM supplier) GROUP BY 1, 2, 3 HAVING bool_or(kind IN (0, 1, 2)) AND bool_or(kind IN (0, 3)))) WHERE r = 1""")
+def _(t):
+    """A listing of images and index files of states, years and resolutions; some have only one of both."""
+    s = t.raw("supplier")
+    top = F.concat_ws("/", F.concat(F.lit("s"), F.col("s_nationkey")), F.lit(2015) + F.col("s_suppkey") % 8, F.get(F.array(*map(F.lit, ("60cm", "100cm", "30cm"))), (F.col("s_suppkey") % 3).cast("int")))
+    kind = F.col("s_suppkey") % 5
+    keys = F.when(kind == 0, F.array(F.lit("rgbir_cog/a.tif"), F.lit("index/b.shp"))).when(kind < 3, F.array(F.lit("rgbir_cog/c.tif"))).when(kind == 3, F.array(F.lit("index/d.shp"))).otherwise(F.array(F.lit("index/e.dbf")))
+    listing = s.select(top.alias("top"), F.explode(keys).alias("k")).select(F.concat_ws("/", "top", "k").alias("key"))
+    return readers.discovered(listing, ["60cm", "100cm"]).select("state", F.col("year").alias("year"), "res")
+
+
+@query("s15_sampled", sql("ba", "SELECT b.id, r.value FROM b LEFT JOIN r ON CAST(floor(b.lat / 0.05e0) AS BIGINT) = r.y AND CAST(floor(b.lon / 0.05e0) AS BIGINT) = r.x", "r AS (SELECT CAST(floor(lat / 0.05e0) AS BIGINT) AS y, CAST(floor(lon / 0.05e0) AS BIGINT) AS x, min(state) AS value FROM a GROUP BY 1, 2)"))
+def _(t):
+    a = t.anchors()
+    raster = a.groupBy(F.floor(F.col("lat") / 0.05).cast("long").alias("y"), F.floor(F.col("lon") / 0.05).cast("long").alias("x")).agg(F.min("state").alias("value"))
+    return readers.sampled(t.buildings().select("id", "lat", "lon"), raster, 0.05).select("id", "value")
+
+
+@query("s16_missing_file", "SELECT n_nationkey, n_name FROM nation")
+def _(t):
+    none = readers.or_empty(t.spark, folder(t, "nowhere"), "n_nationkey long, n_name string")
+    return t.raw("nation").select("n_nationkey", "n_name").unionByName(none)
+
+
+@query("s17_blobs", "SELECT 'blob-' || n_nationkey AS name, '{\"id\":' || n_nationkey || '}' AS text FROM nation WHERE n_nationkey < 5")
+def _(t):
+    path = folder(t, "blobs")
+    for k in range(5):
+        sinks.put(t.spark, f"{path}/blob-{k}.json", "old")
+        sinks.put(t.spark, f"{path}/blob-{k}.json", f'{{"id":{k}}}')
+    return readers.blobs(t.spark, f"{path}/*.json").select(F.regexp_extract("uri", r"([^/]+)\.json", 1).alias("name"), "text")
+
+
+@query("k01_overwrite", "SELECT s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 2 = 0")
+def _(t):
+    path, s = folder(t, "table"), t.raw("supplier").select("s_suppkey", "s_acctbal")
+    sinks.parquet(s, path)
+    sinks.parquet(s.where("s_suppkey % 2 = 0"), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k02_copy_sql", "SELECT o_orderkey, o_totalprice / 2 AS half FROM orders WHERE o_orderstatus = 'F'")
+def _(t):
+    path = folder(t, "copy")
+    sinks.copied(t.spark, f"SELECT o_orderkey, o_totalprice / 2 AS half FROM parquet.`{t.sf_dir}/orders.parquet` WHERE o_orderstatus = 'F'", path)
+    return t.spark.read.parquet(path)
+
+
+@query("k03_replaced", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def _(t):
+    path, n = folder(t, "replaced"), t.raw("nation")
+    sinks.replaced(n.select("n_nationkey", "n_name"), path)
+    sinks.replaced(n.where("n_regionkey = 1").select("n_nationkey", "n_name"), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k06_csv_sink", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer WHERE c_acctbal > 5000")
+def _(t):
+    path = folder(t, "csv")
+    sinks.csv(t.raw("customer").where("c_acctbal > 5000"), path, ["c_custkey", "c_name"], [F.desc("c_acctbal"), "c_custkey"])
+    return t.spark.read.csv(path, header=True)
+
+
+@query("k07_leaderboard", "SELECT c_nationkey, c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer) WHERE r = 1")
+def _(t):
+    path = folder(t, "board")
+    sinks.leaderboard(t.raw("customer"), path, "c_nationkey", [F.desc("c_acctbal"), F.col("c_custkey")], ["c_custkey", "c_acctbal"])
+    return t.spark.read.json(path, schema="c_nationkey long, c_custkey long, c_acctbal double")
+
+
+@query("k11_keyed_blobs", "SELECT n_regionkey AS region, count(*) AS n, n_regionkey < 5 AS there FROM nation GROUP BY n_regionkey UNION ALL SELECT 9, 0, false")
+def _(t):
+    path = folder(t, "keyed")
+    sinks.keyed(t.raw("nation").select("n_nationkey", F.col("n_regionkey").alias("region")), path, "region")
+    there = t.spark.createDataFrame([(k, sinks.has_key(t.spark, path, "region", k)) for k in (0, 1, 2, 3, 4, 9)], "region long, there boolean")
+    n = t.spark.read.schema("n_nationkey long, region long").parquet(path).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    return there.join(n, "region", "left").select("region", F.coalesce("n", F.lit(0)).alias("n"), "there")
+
+
+@query("i08_error_rows", "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 7 <> 0 AND s_suppkey % 29 <> 0 THEN [s_suppkey + 0.0e0] END AS pixels, CASE WHEN s_suppkey % 29 = 0 THEN 'TimeoutError: no answer in 0.2 s' WHEN s_suppkey % 7 = 0 THEN 'ValueError: no such window' END AS error FROM supplier")
+def _(t):
+    """Reads that fail or take too long are rows with an error."""
+
+    def read(uri, box):
+        if int(box[0]) % 29 == 0:
+            time.sleep(0.6)
+        if int(box[0]) % 7 == 0:
+            raise ValueError("no such window")
+        return [box[0]]
+
+    k = F.col("s_suppkey")
+    boxes = t.raw("supplier").select(k.alias("id"), F.concat(F.lit("u"), k % 4).alias("uri"), *[k.cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+    return readers.windows(boxes, read, timeout=0.2).select("id", "pixels", "error")
+
+
+@query("i12_chunk_function", "SELECT n_regionkey AS chunk, CASE WHEN n_regionkey <> 3 THEN count(*) END AS n, CASE WHEN n_regionkey <> 3 THEN min(n_name) END AS first, CASE WHEN n_regionkey = 3 THEN 'RuntimeError: bad chunk' END AS error FROM nation GROUP BY n_regionkey")
+def _(t):
+    def work(part):
+        if (part["chunk"] == 3).any():
+            raise RuntimeError("bad chunk")
+        return pd.DataFrame({"n": [len(part)], "first": [part["n_name"].min()]})
+
+    return per_chunk(t.raw("nation").select(F.col("n_regionkey").alias("chunk"), "n_name"), "chunk", work, "chunk long, n long, first string, error string")
 
 
 @query("s08_json_column", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")

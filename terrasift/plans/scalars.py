@@ -40,7 +40,7 @@ def _(t):
     return t.buildings().select("id", tidy(X.bbox_area_km2("xmin", "ymin", "xmax", "ymax"), 9).alias("km2"))
 
 
-@query("f06_expand_bbox", sql("b", f"SELECT id, {tidy_sql('xmin - 100.0e0 / (111320.0e0 * cos(radians((ymin + ymax) / 2)))', 9)} AS x0, {tidy_sql('ymax + 100.0e0 / 111320.0e0', 9)} AS y1 FROM b"))
+@query("f06_expand_bbox", sql("b", f"SELECT id, {tidy_sql('xmin - 100.0e0 / (111000.0e0 * cos(radians((ymin + ymax) / 2)))', 9)} AS x0, {tidy_sql('ymax + 100.0e0 / 111000.0e0', 9)} AS y1 FROM b"))
 def _(t):
     box = X.expand_bbox("xmin", "ymin", "xmax", "ymax", 100.0)
     return t.buildings().select("id", tidy(box[0], 9).alias("x0"), tidy(box[3], 9).alias("y1"))
@@ -89,28 +89,35 @@ def _(t):
     return t.raw("pages").select("page_id", part("^[a-z]+://([^/]+)/").alias("host"), part("^[a-z]+://[^/]+/(.*)$").alias("key"), F.regexp_replace("url", "^https?://", "s3://").alias("s3"))
 
 
-@query("f15_href_rewrite", "SELECT page_id, replace(replace(replace(replace(url, 'http://', 's3://'), '.example.com', '-l2'), '?page=', '_SR_B'), '&ref=x', '.TIF') AS href FROM pages")
+_HREF = "'s3://bucket/collection02/level-1/standard/etm/2008/LE07_' || CASE page_id % 3 WHEN 0 THEN 'L1TP' WHEN 1 THEN 'L1GT' ELSE 'L1GS' END || '_' || page_id || '_20080704_02_T1_B8.TIF'"
+
+
+@query("f15_href_rewrite", "SELECT page_id, replace(replace(replace(replace(h, '/level-1/', '/level-2/'), '_L1TP_', '_L2SP_'), '_L1GT_', '_L2SP_'), '_B8.TIF', '_SR_B4.TIF') AS nir08, "
+       f"replace(replace(replace(replace(h, '/level-1/', '/level-2/'), '_L1TP_', '_L2SP_'), '_L1GT_', '_L2SP_'), '_B8.TIF', '_SR_B7.TIF') AS swir22 FROM (SELECT page_id, {_HREF} AS h FROM pages)")
 def _(t):
-    href = F.col("url")
-    for old, new in (("http://", "s3://"), (".example.com", "-l2"), ("?page=", "_SR_B"), ("&ref=x", ".TIF")):
-        href = F.replace(href, F.lit(old), F.lit(new))
-    return t.raw("pages").select("page_id", href.alias("href"))
+    kind = F.when(F.col("page_id") % 3 == 0, "L1TP").when(F.col("page_id") % 3 == 1, "L1GT").otherwise("L1GS")
+    href = F.concat(F.lit("s3://bucket/collection02/level-1/standard/etm/2008/LE07_"), kind, F.lit("_"), F.col("page_id").cast("string"), F.lit("_20080704_02_T1_B8.TIF"))
+    return t.raw("pages").select("page_id", X.surface_href(href, "nir08").alias("nir08"), X.surface_href(href, "swir22").alias("swir22"))
 
 
-_FILE = "'m_' || lpad(CAST(id % 90000 AS VARCHAR), 7, '0') || '_nw_14_060_2022' || lpad(CAST(id % 12 + 1 AS VARCHAR), 2, '0') || '15' || CASE WHEN id % 2 = 0 THEN '_20221210' ELSE '' END"
-_PATTERN = r"^m_(\d{7})_(ne|nw|se|sw)_(\d{2})_(\d+)_(\d{8})(?:_(\d{8}))?$"
+_FILE = ("'m_' || lpad(CAST(id % 90000 AS VARCHAR), CASE WHEN id % 3 = 0 THEN 8 ELSE 7 END, '0') || '_nw_' || CASE WHEN id % 5 = 0 THEN '9' ELSE '14' END || '_060_2022' || lpad(CAST(id % 12 + 1 AS VARCHAR), 2, '0') || '15'"
+         " || CASE WHEN id % 2 = 0 THEN '_20221210' ELSE '' END || CASE WHEN id % 7 = 0 THEN '.xml' ELSE '.tif' END")
+_PATTERN = r"^m_(\d{7,8})_(ne|nw|se|sw)_(\d+)_(\d+)_(\d{8})(?:_(\d{8}))?\.tif$"
 
 
 def file_name():
     key = F.col("id")
-    return F.concat(F.lit("m_"), F.lpad((key % 90000).cast("string"), 7, "0"), F.lit("_nw_14_060_2022"), F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lit("15"), F.when(key % 2 == 0, "_20221210").otherwise(""))
+    zone, size = F.when(key % 5 == 0, "9").otherwise("14"), F.when(key % 3 == 0, 8).otherwise(7)
+    date = F.concat(F.lit("_060_2022"), F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lit("15"))
+    return F.concat(F.lit("m_"), F.lpad((key % 90000).cast("string"), size, F.lit("0")), F.lit("_nw_"), zone, date, F.when(key % 2 == 0, "_20221210").otherwise(""), F.when(key % 7 == 0, ".xml").otherwise(".tif"))
 
 
-@query("f16_filename_decode", sql("b", f"SELECT id, regexp_extract(f, '{_PATTERN}', 1) AS quad, regexp_extract(f, '{_PATTERN}', 2) AS corner, regexp_extract(f, '{_PATTERN}', 3) AS zone, regexp_extract(f, '{_PATTERN}', 5) AS acquired, nullif(regexp_extract(f, '{_PATTERN}', 6), '') AS published FROM (SELECT id, {_FILE} AS f FROM b)"))
+@query("f16_filename_decode", sql("b", f"""SELECT id, CASE WHEN ok THEN regexp_extract(f, '{_PATTERN}', 1) END AS quad_id, CASE WHEN ok THEN regexp_extract(f, '{_PATTERN}', 2) END AS quadrant, CASE WHEN ok THEN regexp_extract(f, '{_PATTERN}', 3) END AS utm_zone,
+CASE WHEN ok THEN regexp_extract(f, '{_PATTERN}', 5) END AS acquired, CASE WHEN ok THEN nullif(regexp_extract(f, '{_PATTERN}', 6), '') END AS processed, CASE WHEN ok THEN f END AS rebuilt FROM (SELECT id, f, regexp_matches(f, '{_PATTERN}') AS ok FROM (SELECT id, {_FILE} AS f FROM b))"""))
 def _(t):
-    f = t.buildings().select("id", file_name().alias("f"))
-    part = lambda k: F.regexp_extract("f", _PATTERN, k)
-    return f.select("id", part(1).alias("quad"), part(2).alias("corner"), part(3).alias("zone"), part(5).alias("acquired"), F.nullif(part(6), F.lit("")).alias("published"))
+    parts = X.tile_parts(F.col("f"))
+    f = t.buildings().select("id", file_name().alias("f")).select("id", *[v.alias(k) for k, v in parts.items()])
+    return f.select("id", "quad_id", "quadrant", "utm_zone", "acquired", "processed", F.when(F.col("quad_id").isNotNull(), X.tile_name(*map(F.col, ("quad_id", "quadrant", "utm_zone", "res_code", "acquired", "processed")))).alias("rebuilt"))
 
 
 @query("f17_naming_tokens", sql("b", f"SELECT id, CASE len(string_split({_FILE}, '_')) WHEN 6 THEN 'short' WHEN 7 THEN 'long' ELSE 'unknown' END AS convention FROM b"))
@@ -138,6 +145,16 @@ def _(t):
     return o.select("o_orderkey", relation.alias("relation"), F.year("d").cast("long").alias("announced"))
 
 
+_SPREAD = "SELECT id, abs(v[1]) * 1.2e0 + 0.02e0 AS blue, abs(v[2]) + 0.05e0 AS green, abs(v[3]) * 2 + 0.02e0 AS red, CASE WHEN id % 17 = 0 THEN NULL WHEN id % 19 = 0 THEN 'NaN'::DOUBLE ELSE abs(v[4]) * 2 + 0.02e0 END AS nir FROM v"
+
+
+def spread(t):
+    """Band means from vectors, some missing."""
+    at = lambda k, times, plus: F.abs(F.get("v", F.lit(k))) * times + plus
+    nir = F.when(F.col("id") % 17 == 0, None).when(F.col("id") % 19 == 0, float("nan")).otherwise(at(3, 2, 0.02))
+    return t.vectors().select("id", at(0, 1.2, 0.02).alias("blue"), at(1, 1, 0.05).alias("green"), at(2, 2, 0.02).alias("red"), nir.alias("nir"))
+
+
 _BANDS = "SELECT id, v[1] + 0.2e0 AS blue, v[2] + 0.2e0 AS green, v[3] + 0.2e0 AS red, v[4] + 0.3e0 AS nir, v[5] + 0.2e0 AS swir FROM v"
 
 
@@ -151,20 +168,37 @@ _NDWI = "(green - nir) / nullif(green + nir, 0)"
 _NDBI = "(swir - nir) / nullif(swir + nir, 0)"
 
 
-@query("f22_cover_cascade", sql("v", f"""SELECT id, CASE WHEN blue <= 0 AND red <= 0 THEN 'nodata' WHEN {_NDWI} > 0.3e0 THEN 'water' WHEN {_NDVI} > 0.5e0 THEN 'dense_vegetation' WHEN {_NDVI} > 0.3e0 THEN 'vegetation'
-WHEN (blue + green + red) / 3 > 0.35e0 THEN 'bright_roof' WHEN {_NDBI} > 0.1e0 AND (blue + green + red) / 3 > 0.2e0 THEN 'built' WHEN CASE WHEN blue > 0 THEN red / blue ELSE 99.0e0 END > 1.6e0 THEN 'bare_soil' WHEN (blue + green + red) / 3 < 0.08e0 THEN 'shadow' ELSE 'mixed' END AS cover FROM ({_BANDS})"""))
+_YELLOW = "CASE WHEN blue > 0 THEN red / blue ELSE 99 END"
+
+
+@query("f22_cover_cascade", sql("v", f"""SELECT id, CASE tier WHEN 0 THEN 'missing' WHEN 1 THEN 'water' WHEN 2 THEN 'vegetation' WHEN 3 THEN CASE WHEN red > 0.35e0 AND blue > 0.25e0 THEN 'metal_roof' ELSE 'concrete' END WHEN 4 THEN 'asphalt'
+WHEN 5 THEN 'rust_brick' WHEN 6 THEN 'sand' WHEN 7 THEN 'sparse_veg' WHEN 8 THEN 'bare_soil' ELSE 'ambiguous' END AS cover, tier, tier IN (1, 3, 4, 5) AS dropped FROM (SELECT *, CASE
+WHEN blue IS NULL OR green IS NULL OR red IS NULL OR nir IS NULL OR isnan(blue + green + red + nir) THEN 0
+WHEN nir < 0.05e0 AND blue > red THEN 1
+WHEN nir > 2.0e0 * red THEN 2
+WHEN red > 0.2e0 AND {_YELLOW} < 1.2e0 AND nir <= 1.1e0 * red THEN 3
+WHEN red < 0.12e0 AND green < 0.12e0 AND blue < 0.12e0 AND nir < 0.15e0 THEN 4
+WHEN {_YELLOW} > 1.4e0 AND red > 0.18e0 AND nir <= 1.05e0 * red THEN 5
+WHEN {_YELLOW} > 1.2e0 AND nir > 1.05e0 * red THEN 6
+WHEN nir > 1.2e0 * red THEN 7
+WHEN red > 0.1e0 AND red < 0.3e0 AND {_YELLOW} > 1.1e0 AND nir > 0.9e0 * red THEN 8 ELSE 9 END AS tier FROM ({_SPREAD}))"""))
 def _(t):
-    from ..operators.cover import cover_class
+    from ..operators.cover import COVER_DROPPED, cover_tier
+
+    c = spread(t).select("id", cover_tier().alias("c"))
+    return c.select("id", "c.cover", "c.tier", F.col("c.cover").isin(*COVER_DROPPED).alias("dropped"))
+
 
-    return bands(t).select("id", cover_class().alias("cover"))
+_SNDVI, _SBRIGHT, _SRATIO = "(nir - red) / (nir + red)", "(blue + green + red) / 3", "nir / red"
 
 
-@query("f23_colour_rule", sql("v", f"SELECT id, CASE WHEN {_NDVI} >= 0.35e0 OR (nir / nullif(red, 0) >= 2.2e0 AND (blue + green + red) / 3 < 0.25e0) THEN 'natural' WHEN {_NDVI} < 0.15e0 AND (blue + green + red) / 3 >= 0.15e0 THEN 'built' ELSE 'ambiguous' END AS colour FROM ({_BANDS})"))
+@query("f23_colour_rule", sql("v", f"""SELECT id, CASE WHEN nir IS NULL OR isnan(nir) THEN 'missing' WHEN {_SNDVI} > 0.30e0 THEN 'natural' WHEN {_SNDVI} > 0.10e0 THEN 'natural' WHEN {_SRATIO} > 1.1e0 THEN 'natural'
+WHEN {_SBRIGHT} > 0.30e0 THEN 'built' WHEN {_SBRIGHT} < 0.15e0 THEN 'built' ELSE 'ambiguous' END AS colour FROM ({_SPREAD})"""))
 def _(t):
     from ..operators.cover import colour_class
 
-    b = bands(t)
-    return b.select("id", colour_class(X.ndvi(F.col("nir"), F.col("red")), (F.col("blue") + F.col("green") + F.col("red")) / 3, F.try_divide("nir", "red")).alias("colour"))
+    nir, red = F.col("nir"), F.col("red")
+    return spread(t).select("id", colour_class((nir - red) / (nir + red), (F.col("blue") + F.col("green") + red) / 3, nir / red).alias("colour"))
 
 
 @query("f24_ndvi", sql("v", f"SELECT id, {tidy_sql(_NDVI)} AS plain, {tidy_sql('(nir - red) / (nir + red + 1e-9)')} AS guarded FROM ({_BANDS})"))
@@ -178,18 +212,26 @@ def _(t):
     return t.raw("part").select("p_partkey", tidy(X.reflectance((F.col("p_partkey") * 31 % 50000).cast("double")), 9).alias("r"))
 
 
-@query("f26_chip_quality", sql("v", "SELECT id, CASE WHEN dark > 0.55e0 THEN 'empty' WHEN sd < 0.124e0 THEN 'cloudy' ELSE 'ok' END AS quality FROM (SELECT id, len(list_filter(v, lambda x: x < 0)) / 64.0e0 AS dark, floor(list_stddev_pop(v) * 1e6 + 0.5) / 1e6 AS sd FROM v)"))
+@query("f26_chip_quality", sql("v", """SELECT id, CASE WHEN id % 23 = 0 THEN 'missing' WHEN dark > 0.3e0 THEN 'empty' WHEN sd < 8.0e0 THEN 'cloudy' ELSE 'ok' END AS quality FROM (SELECT id,
+len(list_filter(range(1, 65), lambda i: r[i] + g[i] + b[i] < 10)) / 64.0e0 AS dark, floor(list_stddev_pop(list_concat(list_concat(r, g), b)) * 1e6 + 0.5) / 1e6 AS sd FROM (SELECT id,
+list_transform(v, lambda x: greatest(0.0e0, x * (id % 5) * 100 + 20)) AS r, list_transform(v, lambda x: greatest(0.0e0, x * (id % 5) * 90 + 10)) AS g, list_transform(v, lambda x: greatest(0.0e0, x * (id % 5) * 80)) AS b FROM v))"""))
 def _(t):
     from ..operators.cover import chip_quality
 
-    return t.vectors().select("id", chip_quality(F.col("v"), dark=0.0, dark_share=0.55, least_std=0.124).alias("quality"))
+    band = lambda times, plus: F.transform("v", lambda x: F.greatest(F.lit(0.0), x * (F.col("id") % 5) * times + plus))
+    return t.vectors().select("id", chip_quality(F.when(F.col("id") % 23 != 0, band(100, 20)), band(90, 10), band(80, 0)).alias("quality"))
+
+
+_CLASSES = ("warehouse", "retail", "house", "barn", "school", "stadium", "mosque", "shed", "large")
 
 
-@query("f27_group_mapping", sql("b", "SELECT id, CASE WHEN class IN ('large', 'economy') THEN 'industrial' WHEN class IN ('small', 'medium') THEN 'residential' ELSE 'other' END AS grp FROM b"))
+@query("f27_group_mapping", sql("b", f"""SELECT id, CASE WHEN c = 'warehouse' THEN 'industrial' WHEN c = 'retail' THEN 'retail' WHEN c = 'house' THEN 'residential' WHEN c = 'barn' THEN 'agricultural' WHEN c = 'school' THEN 'education'
+WHEN c = 'stadium' THEN 'institutional' WHEN c = 'mosque' THEN 'religious' ELSE 'other' END AS grp FROM (SELECT id, CASE WHEN id % 10 < 9 THEN ({list(_CLASSES)!r})[id % 10 + 1] END AS c FROM b)"""))
 def _(t):
-    from ..operators.cover import group_of
+    from ..operators.cover import CLASS_GROUPS, group_of
 
-    return t.buildings().select("id", group_of("class", {"industrial": ["large", "economy"], "residential": ["small", "medium"]}).alias("grp"))
+    kind = F.get(F.array(*map(F.lit, _CLASSES)), (F.col("id") % 10).cast("int"))
+    return t.buildings().select("id", kind.alias("c")).select("id", group_of("c", CLASS_GROUPS).alias("grp"))
 
 
 @query("f28_code_names", "SELECT n_nationkey, r_name AS name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey AND r_regionkey < 4")

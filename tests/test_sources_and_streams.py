@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from terrasift.operators import incremental, sampling
@@ -62,7 +63,70 @@ def test_retry_waits_longer_each_time():
             raise OSError
         return "ok"
 
-    assert readers.retried(call, 4, 0.5, waits.append) == "ok" and waits == [0.5, 1.0]
+    assert readers.retried(call, 4, 0.5, jitter=0.0, sleep=waits.append) == "ok" and waits == [0.5, 1.0]
+    calls.clear()
+    waits.clear()
+    with pytest.raises(OSError):
+        readers.retried(lambda: calls.append(1) or (_ for _ in ()).throw(OSError()), 6, 8.0, 16.0, 1.0, waits.append)
+    assert len(waits) == 5 and all(8 <= w <= 9 for w in waits[:1]) and all(16 <= w <= 17 for w in waits[1:])
+
+
+def test_slow_calls_time_out():
+    import time
+
+    with pytest.raises(TimeoutError):
+        readers.timed(lambda: time.sleep(2), 0.1)
+    assert readers.timed(lambda: 5, 2) == 5
+
+
+def test_a_failed_write_leaves_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replaced(spark.range(5), path)
+    bad = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replaced(bad, path)
+    assert spark.read.parquet(path).count() == 5 and [f for f in os.listdir(tmp_path) if not f.startswith(".")] == ["t"]
+
+
+def test_warehouse_creates_and_appends(spark):
+    spark.sql("DROP TABLE IF EXISTS deltas")
+    for _ in range(2):
+        sinks.warehouse(spark.range(3), "deltas")
+    assert spark.table("deltas").count() == 6
+    spark.sql("DROP TABLE deltas")
+
+
+def test_only_touched_buckets_are_written_and_old_versions_go(spark, tmp_path):
+    src, table = tmp_path / "in", tmp_path / "t"
+    schema = "k long, v long"
+    run = lambda: live.upserts(live.event_stream(spark, str(src), schema), str(table), str(tmp_path / "cp"), ["k"], ["v"], 4).awaitTermination()
+    for n, rows in enumerate([[(k, 1) for k in range(40)], [(1, 2)], [(1, 3)], [(1, 4)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src), mode="append")
+        run()
+        if n:
+            assert len([x for x in os.listdir(table / f"version={n}") if x.startswith("_bucket")]) == 1
+    got = {r.k: r.v for r in live.current(spark, str(table)).collect()}
+    assert got == {k: 4 if k == 1 else 1 for k in range(40)}
+    left = [len([x for x in os.listdir(table / f"version={n}") if x.startswith("_bucket")]) for n in range(4)]
+    assert left[0] == 3 and left[1] == 0 and left[2] == left[3] == 1
+
+
+def test_the_entry_imports_without_the_optional_parts(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    shutil.copytree(f"{root}/terrasift", tmp_path / "terrasift", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 200 and set(e.oracle_sql()) <= set(q) and not [k for k in q if k.startswith(('op', 'pipeline'))]"
+    for gone in (False, True):
+        if gone and (tmp_path / "corpus_pipeline.py").exists():
+            os.remove(tmp_path / "corpus_pipeline.py")
+        done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
+        assert done.returncode == 0, done.stderr
 
 
 def test_sinks(spark, tmp_path):

@@ -78,3 +78,47 @@ def test_outline_rules(spark):
     rows = [([[0.0, 0.0], [1.0, 0.0], [0.5, 1.0]], True), ([[0.0, 0.0], [1.0, 0.0]], False), ([[0.0, 0.0], [1.1, 0.0], [0.5, 1.0]], False), (None, False)]
     df = spark.createDataFrame(rows, "p array<array<double>>, ok boolean")
     assert all(r.got == r.ok for r in df.withColumn("got", valid_outline(F.col("p"))).collect())
+
+
+def test_pairs_across_the_antimeridian_and_near_a_pole(spark):
+    a = [(1, 0.0, 179.9990), (2, 10.0, -179.9995), (3, 85.0, 179.99), (4, 0.0, 0.0), (5, -40.0, 180.0)]
+    b = [(1, 0.0, -179.9990), (2, 10.0, 179.9990), (3, 85.0, -179.99), (4, 0.0, 0.001), (5, -40.0, -180.0), (6, 0.0, 90.0)]
+    left, right = spark.createDataFrame(a, "id long, lat double, lon double"), spark.createDataFrame(b, "rid long, rlat double, rlon double")
+    got = {(r.id, r.rid) for r in radius_join(left, right, 500).collect()}
+    assert got == {(x[0], y[0]) for x in a for y in b if dist(x, y) <= 500} and len(got) == 5
+    assert {r.id for r in radius_join(left, right, 500, how="left_anti").collect()} == set()
+
+
+def test_semi_and_anti_joins_keep_equal_rows(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, 9.0, 9.0), (2, 9.0, 9.0), (3, None, 1.0)], "id long, lat double, lon double")
+    right = spark.createDataFrame([(7, 0.0, 0.0), (8, 0.0, 0.0001)], "rid long, rlat double, rlon double")
+    assert sorted(r.id for r in radius_join(left, right, 100, how="left_semi").collect()) == [1, 1]
+    assert sorted(r.id for r in radius_join(left, right, 100, how="left_anti").collect()) == [2, 2, 3]
+
+
+def test_roads_cut_lines(spark):
+    from terrasift.operators.spatial import crosses, uncrossed
+
+    r = random.Random(3)
+    lines = [(k, k + 1000, *[r.uniform(0, 10) for _ in range(4)]) for k in range(200)]
+    roads = [tuple(r.uniform(0, 10) for _ in range(4)) for _ in range(6)] + [(5.0, -1.0, 5.0, 11.0)]
+    lines.append((500, 1500, 5.0, 2.0, 7.0, 2.0))  # begins on a road
+
+    def side(p, q, t):
+        return (q[0] - p[0]) * (t[1] - p[1]) - (q[1] - p[1]) * (t[0] - p[0])
+
+    def hit(x, y):
+        a, b, c, d = x[2:4], x[4:6], y[:2], y[2:]
+        return side(a, b, c) * side(a, b, d) <= 0 and side(c, d, a) * side(c, d, b) <= 0
+
+    got = uncrossed(spark.createDataFrame(lines, "a long, b long, xa double, ya double, xb double, yb double"), spark.createDataFrame(roads, "xa double, ya double, xb double, yb double"), 0.7)
+    assert "NestedLoop" not in got._jdf.queryExecution().toString() and "Cartesian" not in got._jdf.queryExecution().toString()
+    assert {x.a for x in got.collect()} == {x[0] for x in lines if not any(hit(x, y) for y in roads)}
+
+
+def test_plans_have_no_nested_loops(spark):
+    import __spark_entry__ as entry
+
+    for name in ("j29_road_cut", "j34_cosine_nearest", "m02_drop_rule", "m09_knn_vote", "j17_multi_radius", "w06_global_rank"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name

@@ -32,7 +32,7 @@ from .words import Lookup, hashes
 
 MODEL_WORDS, COUNTED, HELD = 4095, 1 << 19, 1 << 20
 HIDDEN, WINDOW, STREAMS, START_DOCS, START_CHARS, EPOCHS = 24, 16, 48, 1200, 2400, 3
-ROUNDS, SHARD_STREAMS, SHARD_RATE, PIECES, ROWS, MOST = 2, 384, 0.003, 64, 4096, np.float32(60)
+ROUNDS, SHARD_STREAMS, SHARD_RATE, PIECES, ROWS, SOME, MOST = 2, 384, 0.003, 64, 1 << 15, 2048, np.float32(60)
 END = np.uint64(0x5851F42D4C957F2D)
 LOG10 = float(np.log(10.0))
 
@@ -82,6 +82,7 @@ class Model:
         self.cls = np.floor(np.sqrt(ids)).astype(np.int16)
         self.classes = int(self.cls[words - 1]) + 2
         self.cls[words] = self.classes - 1
+        self.ones = np.ones(ROWS, dtype=np.float32)
         self.p = {
             "x": init(rng, words + 1, 3 * HIDDEN, scale=0.1), "u": init(rng, HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, dtype=np.float32),
             "c": init(rng, HIDDEN, self.classes, scale=0.05), "cb": np.zeros(self.classes, dtype=np.float32),
@@ -110,19 +111,25 @@ class Model:
     def _sorted(self, h: np.ndarray, y: np.ndarray, grads: dict | None):
         """output() for rows in the order of their classes."""
         p, cls, rows = self.p, self.cls[y], np.arange(len(y))
-        e = np.minimum(h @ p["c"] + p["cb"], MOST)
-        out = e[rows, cls].astype(np.float64)
-        np.exp(e, out=e)
-        total = e @ np.ones(self.classes, dtype=np.float32)
-        out -= np.log(total)
+        out, dh = np.empty(len(y)), np.empty_like(h) if grads is not None else None
+        for lo in range(0, len(y), SOME):  # a part at a time, which a core's cache holds
+            some = slice(lo, lo + SOME)
+            e = h[some] @ p["c"]
+            e += p["cb"]
+            np.minimum(e, MOST, out=e)
+            out[some] = e[rows[: len(e)], cls[some]]
+            np.exp(e, out=e)
+            total = e @ self.ones[: self.classes]
+            out[some] -= np.log(total)
+            if grads is not None:
+                inverse = 1 / total
+                dh[some] = p["c"].T[cls[some]] - (e @ p["c"].T) * inverse[:, None]
+                grads["c"] -= (h[some] * inverse[:, None]).T @ e
+                grads["cb"] -= inverse @ e
         bound = np.searchsorted(cls, np.arange(self.classes + 1))
-        dh = None
         if grads is not None:
-            inverse = 1 / total
-            dh = p["c"].T[cls] - (e @ p["c"].T) * inverse[:, None]
-            grads["c"] -= (h * inverse[:, None]).T @ e
-            grads["cb"] += np.diff(bound) - inverse @ e
             there = np.flatnonzero(np.diff(bound))
+            grads["cb"] += np.diff(bound)
             grads["c"][:, there] += np.add.reduceat(h, bound[there], axis=0).T
         for k in range(1, self.classes - 1):  # the first class is END alone, the last is told apart by counts
             a, b = bound[k], bound[k + 1]
@@ -130,16 +137,18 @@ class Model:
             if a == b or hi - lo < 2:
                 continue
             w, own, at = p["w"][lo:hi], h[a:b], (rows[: b - a], y[a:b] - lo)
-            e = np.minimum(own @ w.T + p["wb"][lo:hi], MOST)
+            e = own @ w.T
+            e += p["wb"][lo:hi]
+            np.minimum(e, MOST, out=e)
             chosen = e[at]
             np.exp(e, out=e)
-            total = e @ np.ones(hi - lo, dtype=np.float32)
+            total = e @ self.ones[: hi - lo]
             out[a:b] += chosen - np.log(total)
             if grads is not None:
                 e *= (-1 / total)[:, None]
                 e[at] += 1
                 grads["w"][lo:hi] += e.T @ own
-                grads["wb"][lo:hi] += e.sum(axis=0)
+                grads["wb"][lo:hi] += self.ones[: b - a] @ e
                 dh[a:b] += e @ w
         return out, dh
 

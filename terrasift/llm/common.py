@@ -135,9 +135,10 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return labels
 
 
-def shared_members(buckets: DataFrame, label: str) -> DataFrame:
-    """(bucket, node, lo, n): the distinct nodes of buckets (bucket, node) that hold unlike ones, the least of them and the bucket's rows."""
-    sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").drop("hi")
+def shared_members(buckets: DataFrame, label: str, counted: bool = False) -> DataFrame:
+    """(bucket, node, lo): the distinct nodes of buckets (bucket, node) that hold unlike ones, and the least of them; counted: with n, the bucket's rows."""
+    more = [F.count(F.lit(1)).alias("n")] if counted else []
+    sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), *more).where("lo != hi").drop("hi")
     return cut(buckets.join(sized, "bucket").distinct(), f"{label}-members")
 
 

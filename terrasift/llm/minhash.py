@@ -248,7 +248,7 @@ def _linked(reps: DataFrame, verify, far, centres) -> DataFrame:
     the node that ``centres`` names in its place. Members are compared to p; ``far`` takes families (p, u, cp, cu) with
     components and gives the (a, b) among the u of one p, from different components, that may be linked.
     """
-    members = shared_members(bands(reps), "near")
+    members = shared_members(bands(reps), "near", counted=True)
     edges, comps = stars(members, verify, "near")
     large = members.where("n > 2").select("lo", "node").distinct()
     if large.isEmpty():

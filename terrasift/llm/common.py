@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
 import uuid
@@ -77,6 +78,12 @@ def cut_release(spark: SparkSession, since: int = 0, until: int | None = None) -
             _made.paths[k] = ""
 
 
+def freed(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: the shuffle files of finished writes are deleted only then, and large ones would stay beside each other."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def running(df: DataFrame, order: list[Column], sums: dict[str, str], label: str = "running") -> DataFrame:
     """df with ``at``, the number of rows before each, and sums over them: operators.ranking.running() on cut tables."""
     return ranking.running(df, order, sums, write=cut, label=label)
@@ -139,7 +146,11 @@ def shared_members(buckets: DataFrame, label: str, counted: bool = False) -> Dat
     """(bucket, node, lo): the distinct nodes of buckets (bucket, node) that hold unlike ones, and the least of them; counted: with n, the bucket's rows."""
     more = [F.count(F.lit(1)).alias("n")] if counted else []
     sized = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), *more).where("lo != hi").drop("hi")
-    return cut(buckets.join(sized, "bucket").distinct(), f"{label}-members")
+    sized = cut(sized, f"{label}-sized")
+    freed(buckets.sparkSession)
+    members = cut(buckets.join(sized, "bucket").distinct(), f"{label}-members")
+    freed(buckets.sparkSession)
+    return members
 
 
 def stars(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> tuple[DataFrame, DataFrame]:

@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+class _Made(threading.local):
+    """Paths of the tables that this thread has written."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
+
+
 def folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
@@ -21,4 +32,13 @@ def folder(spark: SparkSession) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/terrasift/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _made.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this thread's operators have written; only once their results are written or no longer wanted."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made.paths:
+        path = jvm.org.apache.hadoop.fs.Path(_made.paths.pop())
+        path.getFileSystem(conf).delete(path, True)

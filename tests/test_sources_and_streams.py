@@ -177,3 +177,13 @@ def test_stream_upserts_and_heartbeat(spark, tmp_path):
     q.stop()
     assert sorted((r.start.hour, r.n, r.n_err) for r in spark.table("beat").collect()) == [(0, 2, 1), (5, 1, 0)]
     assert live.eta_seconds(10, 30, 5.0) == 10.0 and live.eta_seconds(0, 30, 5.0) is None
+
+
+def test_scratch_tables_are_released(spark):
+    from terrasift.sources import scratch
+
+    scratch.release(spark)
+    path = scratch.written(spark.range(3), "some").inputFiles()[0].rsplit("/", 1)[0]
+    assert sinks.exists(spark, path)
+    scratch.release(spark)
+    assert not sinks.exists(spark, path)

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.arrays import mean, present, stdev
 
 
+def _once(value: Column, body) -> Column:
+    """body(value), value being worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def box_mask(height: int, width: int, box: tuple, extent: tuple) -> Column:
     """Booleans of the pixels that a box covers in an extent, both (x0, y0, x1, y1), rows from the top."""
     x0, x1 = ((v - extent[0]) / (extent[2] - extent[0]) * width for v in (box[0], box[2]))
@@ -91,17 +96,17 @@ def edge_strength(pixels: Column, height: int, width: int) -> Column:
     at = F.sequence(F.lit(0), F.lit(height * width - 1))
     row, col = lambda i: F.floor(i / width).cast("int"), lambda i: (i % width).cast("int")
 
-    def v(i, dy, dx):
+    def v(p, i, dy, dx):
         y = F.least(F.greatest(row(i) + dy, F.lit(0)), F.lit(height - 1))
         x = F.least(F.greatest(col(i) + dx, F.lit(0)), F.lit(width - 1))
-        return F.get(pixels, (y * width + x).cast("int"))
+        return F.get(p, (y * width + x).cast("int"))
 
-    def size(i):
-        gx = v(i, -1, 1) + 2 * v(i, 0, 1) + v(i, 1, 1) - v(i, -1, -1) - 2 * v(i, 0, -1) - v(i, 1, -1)
-        gy = v(i, 1, -1) + 2 * v(i, 1, 0) + v(i, 1, 1) - v(i, -1, -1) - 2 * v(i, -1, 0) - v(i, -1, 1)
+    def size(p, i):
+        gx = v(p, i, -1, 1) + 2 * v(p, i, 0, 1) + v(p, i, 1, 1) - v(p, i, -1, -1) - 2 * v(p, i, 0, -1) - v(p, i, 1, -1)
+        gy = v(p, i, 1, -1) + 2 * v(p, i, 1, 0) + v(p, i, 1, 1) - v(p, i, -1, -1) - 2 * v(p, i, -1, 0) - v(p, i, -1, 1)
         return F.sqrt(gx * gx + gy * gy)
 
-    return F.transform(at, size)
+    return _once(pixels, lambda p: F.transform(at, lambda i: size(p, i)))
 
 
 def _window(pixels: Column, i: Column, height: int, width: int, reach: int) -> Column:
@@ -128,7 +133,7 @@ def distance_to(wanted: Column, height: int, width: int, metres: float = 30.0) -
     there = F.filter(at, lambda i: F.coalesce(F.get(wanted, i), F.lit(False)))
     row, col = lambda i: F.floor(i / width), lambda i: i % width
     square = lambda x: x * x
-    return F.transform(at, lambda i: F.sqrt(F.array_min(F.transform(there, lambda j: square(row(i) - row(j)) + square(col(i) - col(j))))) * metres)
+    return _once(there, lambda js: F.transform(at, lambda i: F.sqrt(F.array_min(F.transform(js, lambda j: square(row(i) - row(j)) + square(col(i) - col(j))))) * metres))
 
 
 def band_statistics(bands: dict[str, Column], mask: Column, height: int, width: int, red: str, nir: str, suffix: str = "") -> dict[str, Column]:

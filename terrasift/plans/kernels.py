@@ -177,7 +177,7 @@ def _(t):
 @query("s06_csv_with_text_copy", "SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS lat_raw, c_acctbal AS lat FROM customer")
 def _(t):
     path = f"{scratch.folder(t.spark)}/terrasift/csv-{uuid.uuid4().hex}"
-    t.raw("customer").select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").cast("double").alias("lat_raw")).write.csv(path, header=True)
+    t.raw("customer").select("c_custkey", K.number_text_udf("c_acctbal").alias("lat_raw")).write.csv(path, header=True)
     return readers.csv(t.spark, path, "c_custkey long, lat_raw string")
 
 

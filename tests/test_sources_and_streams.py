@@ -187,3 +187,18 @@ def test_scratch_tables_are_released(spark):
     assert sinks.exists(spark, path)
     scratch.release(spark)
     assert not sinks.exists(spark, path)
+
+
+def test_numbers_keep_their_text(spark, tmp_path):
+    """Signs of zero, more than two decimals and great numbers go through a CSV file as DuckDB writes them."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    values = [-0.0, 0.0, 711.56, 0.125, -1e-5, 12345678.9, 1e7, 1e16, 2.0**-44, 123456789012345680.0, float("nan"), float("inf"), None]
+    spark.createDataFrame(list(enumerate(values)), "c_custkey long, c_acctbal double").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    want = con.sql(entry.oracle_sql()["s06_csv_with_text_copy"]).fetchall()
+    got = entry.queries()["s06_csv_with_text_copy"](spark, str(tmp_path)).select("c_custkey", "lat_raw", "lat").collect()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from .spatial import radius_join
+from .spatial import located, radius_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -43,31 +43,64 @@ def near_pairs(points: DataFrame, eps: float) -> DataFrame:
     return radius_join(points.select("id", "lat", "lon"), _other(points), eps).where("id < rid").select(F.col("id").alias("a"), F.col("rid").alias("b"))
 
 
-def dbscan(points: DataFrame, eps: float, min_samples: int, pairs: DataFrame | None = None) -> DataFrame:
-    """(id, cluster, core): a point counts itself; a border point joins the least of its core neighbours' clusters; noise is -1."""
-    pairs = written(near_pairs(points, eps) if pairs is None else pairs, "pairs")
-    both = pairs.union(pairs.select("b", "a"))
-    degree = both.groupBy("a").count().select(F.col("a").alias("id"), (F.col("count") + 1).alias("n"))
-    cores = written(points.select("id").join(degree, "id", "left").where(F.coalesce("n", F.lit(1)) >= min_samples).select("id"), "cores")
+def places(points: DataFrame, parent: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(id, place) of points (id, lat, lon), and (id, lat, lon, n) of their places: the least id at a place stands for it, n are there.
+
+    Points of different parents are at different places. Those without coordinates or parent are at none.
+    """
+    keys = ["lat", "lon", *([parent] if parent else [])]
+    whole = located(points)
+    whole = whole.where(F.col(parent).isNotNull()) if parent else whole
+    each = written(whole.groupBy(*keys).agg(F.min("id").alias("place"), F.count(F.lit(1)).alias("n")), "places")
+    members = whole.select("id", *keys).join(each.drop("n"), keys).select("id", "place")
+    return members, each.select(F.col("place").alias("id"), *keys, "n")
+
+
+def dbscan(points: DataFrame, eps: float, min_samples: int, parent: str | None = None) -> DataFrame:
+    """(id, cluster, core): a point counts itself; a border point joins the least of its core neighbours' clusters; noise is -1.
+
+    Points at one place have the same neighbours: places are clustered, weighed by their points. Points of different parents, if
+    there are any, are never neighbours.
+    """
+    members, each = places(points, parent)
+    other = _other(each) if parent is None else each.select(F.col("id").alias("rid"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), F.col(parent).alias("rparent"))
+    pairs = radius_join(each.drop("n"), other, eps, same=None if parent is None else (parent, "rparent")).where("id < rid").select(F.col("id").alias("a"), F.col("rid").alias("b"))
+    found = clustered(each.select("id", "n"), pairs, min_samples)
+    placed = members.join(found.select(F.col("id").alias("place"), "cluster", "core"), "place").select("id", "cluster", "core")
+    alone = F.lit(min_samples <= 1)  # points at no place have no neighbours
+    out = points.select("id").join(placed, "id", "left")
+    return out.select("id", F.coalesce("cluster", F.when(alone, F.col("id")), F.lit(-1)).cast("long").alias("cluster"), F.coalesce("core", alone).alias("core"))
+
+
+def clustered(nodes: DataFrame, pairs: DataFrame, min_samples: int) -> DataFrame:
+    """(id, cluster, core) of nodes (id, n), each of which stands for n points, joined by pairs (a, b), each once."""
+    pairs, nodes = written(pairs, "pairs"), written(nodes, "nodes")
+    weighed = pairs.join(nodes.select(F.col("id").alias("b"), "n"), "b").select(F.col("a").alias("id"), "n").union(pairs.join(nodes.select(F.col("id").alias("a"), "n"), "a").select(F.col("b").alias("id"), "n"))
+    cores = written(nodes.union(weighed).groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples).select("id"), "cores")
     a, b = cores.select(F.col("id").alias("a")), cores.select(F.col("id").alias("b"))
     comps = connected_components(pairs.join(a, "a").join(b, "b"))
-    core = cores.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", F.coalesce("comp", "id").alias("cluster"))
-    border = both.join(core.select(F.col("id").alias("b"), "cluster"), "b").groupBy("a").agg(F.min("cluster").alias("near")).select(F.col("a").alias("id"), "near")
-    out = points.select("id").join(core, "id", "left").join(border, "id", "left")
+    core = written(cores.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").select("id", F.coalesce("comp", "id").alias("cluster")), "clusters")
+    both = pairs.union(pairs.select("b", "a"))
+    loose = nodes.select(F.col("id").alias("a")).join(a, "a", "left_anti")  # only these can be at a border
+    border = both.join(loose, "a").join(core.select(F.col("id").alias("b"), "cluster"), "b").groupBy("a").agg(F.min("cluster").alias("near")).select(F.col("a").alias("id"), "near")
+    out = nodes.select("id").join(core, "id", "left").join(border, "id", "left")
     return out.select("id", F.coalesce("cluster", "near", F.lit(-1)).cast("long").alias("cluster"), F.col("cluster").isNotNull().alias("core"))
 
 
 def greedy_dedup(points: DataFrame, radius: float) -> DataFrame:
     """The points that a pass in the order of id keeps, each kept one dropping all later ones within radius.
 
-    Rounds: an undecided point without a smaller undecided neighbour is kept, its neighbours are dropped.
+    Of the points at one place only the first can be kept, so the pass is over places. Rounds: an undecided place without a smaller
+    undecided neighbour is kept, its neighbours are dropped.
     """
-    pairs = written(near_pairs(points, radius), "pairs")
-    undecided, kept = points.select("id"), None
+    _, each = places(points)
+    pairs = written(near_pairs(each, radius), "pairs")
+    undecided = each.select("id")
+    kept = points.select("id", "lat", "lon").where(F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon")).select("id")
     while True:
         blocked = pairs.select(F.col("b").alias("id")).distinct()
         now = written(undecided.join(blocked, "id", "left_anti"), "kept")
-        kept = now if kept is None else kept.union(now)
+        kept = kept.union(now)
         gone = pairs.join(now.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("b").alias("id")).distinct()
         decided = written(now.union(gone), "decided")
         undecided = written(undecided.join(decided, "id", "left_anti"), "undecided")

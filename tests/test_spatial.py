@@ -162,6 +162,28 @@ def test_exploded_sides_are_not_broadcast(spark):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_clusters_pair_places(spark, monkeypatch):
+    """c01, c03: sixty points at each of three places are one pair of places, not thousands."""
+    from terrasift.operators import graph
+
+    made = counting(monkeypatch, graph)
+    points = copies(spark, 60).union(spark.createDataFrame([(7, None, -90.0), (8, None, -90.0), (9, 41.0, -90.0)], "id long, lat double, lon double"))
+    got = {r.id: (r.cluster, r.core) for r in graph.dbscan(points, 500, 61).collect()}
+    assert made["pairs"] == 1
+    assert got == {r.id: ((0, True) if r.id % 10 < 2 and r.id > 1 or r.id < 2 else (-1, False)) for r in points.collect()}
+    assert {r.cluster for r in graph.dbscan(points, 500, 60).collect()} == {0, 2, -1}
+    assert {r.id: r.cluster for r in graph.dbscan(points, 500, 1).collect()}[8] == 8
+
+
+def test_greedy_dedup_pairs_places(spark, monkeypatch):
+    """c05"""
+    from terrasift.operators import graph
+
+    made = counting(monkeypatch, graph)
+    points = copies(spark, 60).union(spark.createDataFrame([(7, None, -90.0), (8, None, -90.0)], "id long, lat double, lon double"))
+    assert {r.id for r in graph.greedy_dedup(points, 500).collect()} == {0, 2, 7, 8} and made["pairs"] == 1
+
+
 def test_nearest_and_within_compare_places(spark, monkeypatch):
     """j20, j22: what is joined follows the places, results are those of all rows."""
     from terrasift.operators import spatial

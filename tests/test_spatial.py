@@ -175,6 +175,19 @@ def test_clusters_pair_places(spark, monkeypatch):
     assert {r.id: r.cluster for r in graph.dbscan(points, 500, 1).collect()}[8] == 8
 
 
+def test_sub_clusters_pair_places_of_a_parent(spark, monkeypatch):
+    """c02: places of different parents are never paired."""
+    from terrasift.operators import areas, graph
+
+    made = counting(monkeypatch, graph)
+    points = copies(spark, 40).withColumn("parent", F.col("id") % 4)
+    got = {r.id: (r.cluster, r.parent) for r in areas.sub_clusters(points, "parent", 500, 30).collect()}
+    assert made["pairs"] <= 4
+    for k, (cluster, parent) in got.items():
+        near = [j for j in got if j % 4 == k % 4 and (j % 10 == k % 10 or {j % 10, k % 10} == {0, 1})]
+        assert cluster == (min(near) if len(near) >= 30 else -1) and parent == k % 4
+
+
 def test_greedy_dedup_pairs_places(spark, monkeypatch):
     """c05"""
     from terrasift.operators import graph

@@ -214,3 +214,17 @@ def test_nearest_and_within_compare_places(spark, monkeypatch):
     assert sizes == [5]
     got = {(r.id, r["rank"], r.rid) for r in spatial.within(left, right, "id", 500, 4).collect()}
     assert got == {(r.id, k + 1, k * 10 + r.id % 10) for r in left.collect() for k in range(4)} and sizes[1] == 20
+
+
+def test_facilities_pair_places_of_a_box(spark, monkeypatch):
+    """c06: candidates of one box share their clusters, buildings at one place are one node."""
+    from terrasift.operators import areas, graph
+
+    made = counting(monkeypatch, graph)
+    b = copies(spark, 30).selectExpr("id", "lat", "lon", "10.0D approx_area_m2", "if(id % 20 < 10, 'warehouse', 'hangar') class", "'' subtype", "concat('n', id % 3) name", "id / 1.0D height", "1 num_floors")
+    box = lambda i: (i, -90.0, 40.0, -90.2, 39.8, -89.8, 40.2)
+    c = spark.createDataFrame([box(5), box(4)], "candidate_id long, lon double, lat double, lon_min double, lat_min double, lon_max double, lat_max double")
+    got = areas.facilities(c, b, c.limit(0)).orderBy("facility_id").collect()
+    assert made["pairs"] == 1 and made["nodes"] == 2
+    assert [(r.facility_id, r.parent_candidate_id, r.n_buildings, r.names, r.max_height_m, r.top_class) for r in got] == [(f"f_000000{k}", 4 + k, 60, ["n0", "n1", "n2"], 291.0, "hangar") for k in range(2)]
+    assert all(abs(r.lat - 40.0005) < 1e-9 and r.lon == -90.0 for r in got)

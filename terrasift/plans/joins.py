@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import EARTH_KM, change_status, grid_cell, tidy
 from ..operators import spatial as S
-from ..operators.graph import near_pairs
+from ..operators.graph import near_pairs, places
 from ..operators.incremental import todo
 from ..operators.ranking import best
+from ..sources.scratch import written
 from .base import haversine_sql as hav
 from .base import query, sql, tidy_sql
 
@@ -251,10 +252,16 @@ def road_segments(t):
 
 
 def cut_edges(t, radius: float):
-    """Pairs of buildings within radius whose joining line no road crosses: (a, b)."""
+    """Pairs of buildings within radius whose joining line no road crosses: (a, b). Places are compared, then their buildings paired."""
     b = t.buildings().select("id", "lat", "lon")
-    ends = near_pairs(b, radius).join(b.select(F.col("id").alias("a"), F.col("lat").alias("ya"), F.col("lon").alias("xa")), "a").join(b.select(F.col("id").alias("b"), F.col("lat").alias("yb"), F.col("lon").alias("xb")), "b")
-    return S.uncrossed(ends, road_segments(t), 0.05).select("a", "b")
+    members, each = places(b)
+    members = written(members, "place-members")
+    ends = lambda d: each.select(F.col("id").alias(d), F.col("lat").alias(f"y{d}"), F.col("lon").alias(f"x{d}"))
+    both = written(near_pairs(each, radius), "place-pairs")
+    both = both.union(both.select("b", "a")).union(each.select("id", "id"))  # either way round, and a place with itself
+    open_ = written(S.uncrossed(both.join(ends("a"), "a").join(ends("b"), "b"), road_segments(t), 0.05).select(F.col("a").alias("pa"), F.col("b").alias("pb")), "open-lines")
+    side = lambda d: members.select(F.col("id").alias(d), F.col("place").alias(f"p{d}"))
+    return open_.hint("merge").join(side("a"), "pa").hint("merge").join(side("b"), "pb").where("a < b").select("a", "b")
 
 
 PAIRS = "e AS (SELECT p.id AS a, q.id AS b, p.lon AS xa, p.lat AS ya, q.lon AS xb, q.lat AS yb FROM b p JOIN b q ON p.id < q.id AND abs(p.lat - q.lat) < 0.03 AND " + hav("p.lat", "p.lon", "q.lat", "q.lon") + " <= {r})"

@@ -216,6 +216,26 @@ def test_nearest_and_within_compare_places(spark, monkeypatch):
     assert got == {(r.id, k + 1, k * 10 + r.id % 10) for r in left.collect() for k in range(4)} and sizes[1] == 20
 
 
+def test_road_cut_compares_places(spark, tmp_path, monkeypatch):
+    """j29: three buildings at each place give the pairs of the SQL, by one line for each pair of places."""
+    import duckdb
+
+    import __spark_entry__ as entry
+    from terrasift.plans import joins
+
+    made = counting(monkeypatch, joins)
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    more = part.crossJoin(spark.range(3).withColumnRenamed("id", "_k")).withColumn("p_partkey", F.col("p_partkey") + 20000 * F.col("_k")).drop("_k")
+    more.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/nation.parquet").coalesce(1).write.parquet(str(tmp_path / "nation.parquet"))
+    con = duckdb.connect()
+    for name in ("part", "nation"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(entry.oracle_sql()["j29_road_cut"]).fetchall()
+    got = [tuple(r) for r in entry.queries()["j29_road_cut"](spark, str(tmp_path)).select("a", "b").collect()]
+    assert sorted(got) == sorted(want) and made["place-pairs"] <= len(want) / 9 * 4
+
+
 def test_facilities_pair_places_of_a_box(spark, monkeypatch):
     """c06: candidates of one box share their clusters, buildings at one place are one node."""
     from terrasift.operators import areas, graph

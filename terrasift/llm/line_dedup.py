@@ -10,9 +10,8 @@ times a run's words, so a line of up to 12 words, which has all its runs as keys
 measured in the tests and stated in the README. A SimHash of 64 bits can't serve here: at similarity 0.8 two lines differ in 13 bits on
 average, so pigeonhole blocks of a useful size miss nearly all of them (the README has figures for both).
 
-A key in more than HOT lines that aren't joined yet is hot. The lines of hot keys choose anew among three times as many runs, those of the least
-hashes: first the ones that at most COLD of these lines share, then others. So lines with a common phrase or passage meet by what else
-they have in common, and only lines that have hardly anything else are compared by their common runs.
+A key in more than HOT lines that aren't joined yet is hot. The lines of hot keys meet anew by their rarest words, one more than the edits
+that a line allows: linked lines share one of these, so every linked pair that shares a hot key is compared.
 
 Verification: the number of words and 256 bits of word parities rule most candidates out (an edit flips two bits at most), then the edit distance of
 the words, each coded as one of 983 040 characters: a wrong link needs two unlike words with equal codes in a pair at the limit.
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, freed, shared_members, small, stars, with_components
 
-SHORT, LONG, SIMILAR, KEYS, HOT, COLD = 3, 4, 0.8, 8, 256, 64
+SHORT, LONG, SIMILAR, KEYS, HOT = 3, 4, 0.8, 8, 256
 #: Codes of words: characters whose numbers have five hexadecimal digits.
 FIRST_CODE, CODES = 0x10000, 0xF0000
 PARITIES = "pqrs"
@@ -103,6 +102,20 @@ def _across(rest: DataFrame, sizes: DataFrame) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
+def _rarest(texts: DataFrame) -> DataFrame:
+    """(bucket, node) of texts (h, c): each line by its rarest words, one more than the edits it allows.
+
+    Linked lines have all words but those edits in common, repeats counted; so the rarest of either, in one order for all lines, share a
+    word: no pair of these lines is left out.
+    """
+    words = texts.select(F.col("h").alias("node"), F.length("c").alias("n"), F.explode(F.split("c", "")).alias("w")).where("w != ''")
+    counted = words.groupBy("node", "n", "w").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    each = cut(counted.select("node", "n", F.explode(F.sequence(F.lit(1), "times")).alias("k"), "w").select("node", "n", F.xxhash64("w", "k").alias("bucket")), "line-hot-words")
+    common = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("c", "bucket"))  # a line's own words
+    return each.join(common, "bucket").withColumn("_at", place).where((F.col("_at") <= _edits(F.col("n")) + 1) & (F.col("c") > 1)).select("bucket", "node")
+
+
 def _once(whole: DataFrame, members: DataFrame) -> DataFrame:
     """(h, n, line) of the members' lines. Of a line's occurrences the one of the least hash is read, so that a common line's don't meet."""
     mark = F.xxhash64("doc_id", "line_no")
@@ -147,10 +160,7 @@ def linked(whole: DataFrame) -> DataFrame:
     hot = cut(rest.where(f"many > {HOT}").select(F.col("node").alias("h")).distinct(), "line-hot")
     again = None
     if not hot.isEmpty():
-        runs = keyed(texts.join(hot, "h").select("h", _let(F.split("c", ""), lambda w: _keys(w, 3 * KEYS)).alias("keys")))
-        runs = runs.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("bucket")))
-        place = F.row_number().over(Window.partitionBy("node").orderBy(F.col("c") > COLD, "bucket"))  # a line's own runs
-        chosen = cut(runs.withColumn("_at", place).where(f"_at <= {KEYS} and c > 1").select("bucket", "node"), "line-hot-keys")
+        chosen = cut(_rarest(texts.join(hot, "h")), "line-hot-keys")
         again = shared_members(chosen, "line-hot")
         links, joined = stars(again, verify, "line-hot")
         last = last.union(links).union(by_greatest(again, joined))

@@ -401,3 +401,15 @@ def test_duplicate_free_statistics_of_nothing():
 
     x = quality_model.statistics(pa.array([None, "", "a"], pa.string()))
     assert x.shape == (3, len(quality_model.NAMES)) and (x[0] == x[1]).all()
+
+
+def test_lines_of_a_common_phrase_meet_by_rare_words(spark):
+    """400 lines share thirty words, pairs of them every second of the next ten: the only runs in common are hot, and all pairs are found."""
+    from terrasift.llm import line_dedup
+
+    phrase = " ".join("common" + chr(97 + k // 6) + chr(97 + k % 6) for k in range(30))
+    name = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(4))
+    own = lambda d, j: name((d // 2 * 10 + j if j % 2 else 200_000 + d * 10 + j) * 7)
+    docs = spark.createDataFrame([(d, phrase + " " + " ".join(own(d, j) for j in range(10))) for d in range(400)], "doc_id long, text string")
+    lost = {r.doc_id for r in line_dedup.dropped(docs).collect()}
+    assert lost == set(range(1, 400, 2))

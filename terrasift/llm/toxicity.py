@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, crc_mod
+from .common import arrow_limits, crc_mod, cut
 from .gru import Adam, backward, forward, init, sigmoid
 from .words import _VALUE, ALNUM, Lookup, buffers, mix, pieces, spans
 
@@ -216,9 +216,12 @@ def train(texts: pa.Array, y: np.ndarray) -> Network:
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[pa.Array, np.ndarray]:
     """At most TRAIN_TOXIC and TRAIN_CLEAN labelled texts of at most TRAIN_CHARS characters, the first in the order of a hash of the id."""
     known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
-    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS).select("doc_id", F.col("text").alias("text"))
-    rows = short.join(known, "doc_id").withColumn("o", F.xxhash64("doc_id")).select("text", "y", "o", "doc_id")
-    parts = [rows.where(F.col("y") == y).orderBy("o", "doc_id", "text").limit(n).toArrow() for y, n in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC))]
+    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
+    ids = cut(short.select("doc_id").join(known, "doc_id").withColumn("o", F.xxhash64("doc_id")), "toxicity-ids")  # texts are read for the chosen ids only, never dealt
+    parts = []
+    for y, n in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC)):
+        first = cut(ids.where(F.col("y") == y).orderBy("o", "doc_id").limit(n).distinct(), "toxicity-chosen")
+        parts.append(short.select("doc_id", "text").join(F.broadcast(first), "doc_id").select("text", "y", "o", "doc_id").orderBy("o", "doc_id", "text").limit(n).toArrow())
     rows = pa.concat_tables(parts).sort_by([(c, "ascending") for c in ("y", "o", "doc_id", "text")])
     return rows.column("text").combine_chunks(), rows.column("y").to_numpy().astype(np.int64)
 

@@ -413,3 +413,31 @@ def test_lines_of_a_common_phrase_meet_by_rare_words(spark):
     docs = spark.createDataFrame([(d, phrase + " " + " ".join(own(d, j) for j in range(10))) for d in range(400)], "doc_id long, text string")
     lost = {r.doc_id for r in line_dedup.dropped(docs).collect()}
     assert lost == set(range(1, 400, 2))
+
+
+def test_toxicity_deals_no_texts_to_choose_its_sample(spark, monkeypatch):
+    """The sample is the first rows in the order of the hash, repeated rows too, and no text is shuffled by a join, however many labels there are."""
+    import pyarrow as pa
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, real, before = [], DataFrame.toArrow, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), real(self))[1])
+    monkeypatch.setattr(toxicity, "TRAIN_CLEAN", 20)
+    monkeypatch.setattr(toxicity, "TRAIN_TOXIC", 7)
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 30)
+    rows = [(k // 2 if k < 40 else k, "x" * 40 if k % 9 == 0 else None if k % 7 == 0 else f"text {k}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 3 % 2) for k in range(200)] + [(3, None), (5, 0), (5, 1), (7, 4)], "doc_id long, toxic int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts, y = toxicity.sample(docs, labels, "toxic")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    order = {r.k: r.o for r in spark.range(200).select(F.col("id").alias("k"), F.xxhash64("id").alias("o")).collect()}
+    known = {(k, k % 3 % 2) for k in range(200)} | {(5, 0), (5, 1)}
+    want = []
+    for kind, n in ((0, 20), (1, 7)):
+        own = sorted(((order[d], d, t or "", t) for d, t in rows if (d, kind) in known and len(t or "") <= 30), key=lambda x: x[:3])[:n]
+        want += sorted(own, key=lambda x: (x[0], x[1], x[3] is None, x[2]))  # nulls are chosen first and stand last
+    assert texts.to_pylist() == [x[3] for x in want] and list(y) == [0] * 20 + [1] * 7 and isinstance(texts, pa.Array)
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)

@@ -162,8 +162,8 @@ def stars(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: s
     least = cut(members.groupBy(F.col("node").alias("b")).agg(F.min("lo").alias("a")).where("a != b").select("a", "b"), f"{label}-least")
     edges = cut(verify(least).select("a", "b"), f"{label}-edges")
     comps = components(edges, f"{label}-c")
-    open_ = with_components(members.select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a != b").distinct(), comps)
-    open_ = open_.where("ca != cb").select("a", "b").join(least, ["a", "b"], "left_anti")
+    untried = members.select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a != b").distinct().join(least, ["a", "b"], "left_anti")
+    open_ = with_components(untried, comps).where("ca != cb").select("a", "b")
     more = cut(verify(open_).select("a", "b"), f"{label}-more")
     if more.isEmpty():
         return edges, comps

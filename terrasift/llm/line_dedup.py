@@ -87,9 +87,12 @@ NEAR = f"least(na, nb) >= {SIMILAR} * greatest(na, nb) - 1e-9 and {' + '.join(f'
 
 
 def _rest(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, node, comp, many) of the buckets whose nodes are of more than one component, ``many`` of them."""
+    """(bucket, node, comp, many) of the buckets whose nodes are of more than one component, ``many`` of them.
+
+    Every node was compared to its buckets' least and greatest by now, so buckets of two or three hold no other pair.
+    """
     open_ = members.select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("many")).where("c0 != c1").select("bucket", "many")
+    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("many")).where("c0 != c1 and many > 3").select("bucket", "many")
     return cut(open_.join(mixed, "bucket"), "line-rest")
 
 
@@ -146,8 +149,9 @@ def linked(whole: DataFrame) -> DataFrame:
     edges, comps = stars(members, verify, "line")
     def by_greatest(members: DataFrame, comps: DataFrame) -> DataFrame:
         """Links to the greatest of a key's lines where the least doesn't join them: alike lines that are left apart would meet in pairs."""
-        last = members.groupBy("bucket").agg(F.max("node").alias("b"))
-        pairs = members.join(last, "bucket").select(F.col("node").alias("a"), "b").where("a != b").distinct()
+        others = members.where("node != lo")  # the least was compared to all of them
+        last = others.groupBy("bucket").agg(F.max("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        pairs = others.join(last, "bucket").select(F.col("node").alias("a"), "b").where("a != b").distinct()
         return verify(with_components(pairs, comps).where("ca != cb").select("a", "b")).select("a", "b")
 
     more = cut(by_greatest(members, comps), "line-greatest")

@@ -441,3 +441,21 @@ def test_toxicity_deals_no_texts_to_choose_its_sample(spark, monkeypatch):
         want += sorted(own, key=lambda x: (x[0], x[1], x[3] is None, x[2]))  # nulls are chosen first and stand last
     assert texts.to_pylist() == [x[3] for x in want] and list(y) == [0] * 20 + [1] * 7 and isinstance(texts, pa.Array)
     assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+
+
+def test_lines_that_met_are_not_paired_again(spark, monkeypatch):
+    """Unlike lines that share a run in twos and threes are done once compared to the least and greatest of a key; near copies in larger groups are found."""
+    rests, real = [], line_dedup.cut
+    monkeypatch.setattr(line_dedup, "cut", lambda df, label: (made := real(df, label), rests.append(made.groupBy("bucket").count().collect()) if label == "line-rest" else None)[0])
+    r = random.Random(12)
+    vocabulary, texts, lost = letters(r, 20_000), [], set()
+    own = lambda n: r.sample(vocabulary, n)
+    for size in [2] * 20 + [3] * 20 + [6] * 10:
+        run = own(6)
+        group = [own(5) + run + own(5) for _ in range(size)]
+        if size == 6:
+            group.append(edited_line(r, group[3], 2, vocabulary))
+        texts += [" ".join(w) for w in group]
+        lost |= {len(texts) - 1} if size == 6 else set()
+    assert {x.doc_id for x in line_dedup.dropped(table(spark, texts)).collect()} == lost
+    assert rests and all(x["count"] > 3 for found in rests for x in found)

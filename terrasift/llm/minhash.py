@@ -42,9 +42,10 @@ _LENDERS = np.random.default_rng(7).permuted(np.tile(np.arange(REGISTERS, dtype=
 def sets(h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where each text's begin and the last ends."""
     n = np.diff(at)
-    rolled = np.zeros(max(0, len(h) - k + 1), dtype=np.uint64)
+    many = max(0, len(h) - k + 1)  # a batch may have fewer words than a shingle
+    rolled = np.zeros(many, dtype=np.uint64)
     for j in range(k):
-        rolled += h[j : len(h) - k + 1 + j] * (_ODD[j % 5] + np.uint64(2 * (j // 5)))
+        rolled += h[j : many + j] * (_ODD[j % 5] + np.uint64(2 * (j // 5)))
     rolled = mix(rolled)
     out, size = [], np.zeros(len(n), dtype=np.int64)
     for d in range(len(n)):

@@ -126,3 +126,14 @@ def test_components_and_class_min(spark):
     assert {x.node: x.comp for x in common.components(edges).collect()} == {**{k: 0 for k in range(41)}, 80: 80, 85: 80, 90: 80}
     df = spark.createDataFrame([(1, None), (2, None), (3, "x"), (4, "x"), (5, "y")], "id long, k string")
     assert {x.id: x.m for x in common.class_min(df, ["k"], "id", "m").collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
+
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_sets_of_a_batch_with_fewer_words_than_a_shingle(k):
+    """A batch whose texts have one to k words in all is read as any other."""
+    for n in range(k + 1):
+        own = np.arange(1, n + 1, dtype=np.uint64)
+        found, at = minhash.sets(own, np.array([0, n], dtype=np.int64), k)
+        assert len(found) == (n > 0) and list(at) == [0, int(n > 0)]
+        more, where = minhash.sets(np.concatenate((own, np.arange(50, 60, dtype=np.uint64))), np.array([0, n, n + 10], dtype=np.int64), k)
+        assert list(more[: where[1]]) == list(found)

@@ -94,6 +94,23 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def likely(rows: DataFrame, keys: DataFrame, col: str, most: int = 1 << 30) -> DataFrame:
+    """The rows whose ``col``, a long that is a hash, stands in ``keys``, and few others: a join with them then deals little else.
+
+    A bitmap of 16 to 32 bits a key, of ``most`` bits at most, is broadcast in blocks of 512 longs.
+    """
+    bits = min(most, 1 << max(15, (16 * max(1, keys.count()) - 1).bit_length()))
+    place = F.col(col).bitwiseAND(F.lit(bits - 1).cast("long"))
+    part = lambda x, by, mask: F.shiftright(x, by).bitwiseAND(F.lit(mask).cast("long"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    marks = keys.select(place.alias("p")).select(F.shiftright("p", 6).alias("w"), one.alias("v"))
+    blank = keys.sparkSession.range(bits >> 6).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v"))
+    longs = marks.union(blank).groupBy("w").agg(F.bit_or("v").alias("v"))
+    blocks = longs.groupBy(F.shiftright("w", 9).alias("_block")).agg(F.sort_array(F.collect_list(F.struct("w", "v"))).getField("v").alias("_map"))
+    found = F.getbit(F.get("_map", part(place, 6, 511).cast("int")), place.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+    return rows.join(F.broadcast(blocks), F.shiftright(place, 15) == F.col("_block")).where(found).select(rows.columns)
+
+
 def crc_mod(col: str, n: int):
     """crc32 of the id as text, mod n (crc32 is not negative)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

@@ -23,17 +23,20 @@ whole. Other columns are untouched, whatever their names. Empty tables give empt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, freed, shared_members, small, stars, with_components
+from .common import components, cut, freed, likely, small, stars, with_components
 
 SHORT, LONG, SIMILAR, KEYS, HOT = 3, 4, 0.8, 8, 256
 #: Codes of words: characters whose numbers have five hexadecimal digits.
 FIRST_CODE, CODES = 0x10000, 0xF0000
 PARITIES = "pqrs"
+#: Of keys 40 bits are dealt: the rest would cost shuffled bytes, and a key that unlike lines have by chance only makes a candidate.
+KEY_BITS = (1 << 40) - 1
 
 
 def normalised(text: str = "text") -> Column:
@@ -47,17 +50,22 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _runs(w: Column, size: int, enough: Column, most: int) -> Column:
-    """The distinct hashes of the runs of ``size`` of the words w, ascending, of the least ``most``; none unless ``enough``."""
-    at = lambda i: F.xxhash64(F.lit(size), *[F.get(w, i + j) for j in range(size)])
-    every = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - size), at))
-    return F.when(enough, F.array_distinct(F.slice(every, 1, most))).otherwise(F.array().cast("array<long>"))
+def _least(runs: Column, enough: Column, most: int) -> Column:
+    """The ``most`` least hashes of runs, ascending; none unless ``enough``."""
+    return F.when(enough, F.slice(F.sort_array(runs), 1, most)).otherwise(F.array().cast("array<long>"))
 
 
 def _keys(w: Column, most: int = KEYS) -> Column:
     """The keys of a line of words w: its runs, of two lengths where lines of other lengths may be linked to it."""
     n = F.size(w)
-    return F.concat(_runs(w, 2, (n > 3) & (n < 6), most), _runs(w, SHORT, (n > 3) & (n < 15), most), _runs(w, LONG, n > 9, most))
+    both = lambda a, b: F.xxhash64(a, b)
+    part = lambda x, at, size: F.slice(x, at, F.greatest(n - size + 1, F.lit(0)))
+
+    def keys(twos: Column) -> Column:
+        threes, fours = F.zip_with(part(twos, 1, SHORT), part(w, 3, SHORT), both), F.zip_with(part(twos, 1, LONG), part(twos, 3, LONG), both)
+        return F.concat(_least(twos, (n > 3) & (n < 6), most), _least(threes, (n > 3) & (n < 15), most), _least(fours, n > 9, most))
+
+    return _let(F.zip_with(part(w, 1, 2), part(w, 2, 2), both), keys)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -87,12 +95,12 @@ NEAR = f"least(na, nb) >= {SIMILAR} * greatest(na, nb) - 1e-9 and {' + '.join(f'
 
 
 def _rest(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, node, comp, many) of the buckets whose nodes are of more than one component, ``many`` of them.
+    """(bucket, node, comp, many) of the buckets of _met() whose nodes are of more than one component, ``many`` of them.
 
     Every node was compared to its buckets' least and greatest by now, so buckets of two or three hold no other pair.
     """
-    open_ = members.select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("many")).where("c0 != c1 and many > 3").select("bucket", "many")
+    open_ = members.where("many > 3").select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("many")).where("c0 != c1").select("bucket", "many")
     return cut(open_.join(mixed, "bucket"), "line-rest")
 
 
@@ -119,21 +127,46 @@ def _rarest(texts: DataFrame) -> DataFrame:
     return each.join(common, "bucket").withColumn("_at", place).where((F.col("_at") <= _edits(F.col("n")) + 1) & (F.col("c") > 1)).select("bucket", "node")
 
 
+def _shared(whole: DataFrame) -> DataFrame:
+    """(bucket, node): the distinct lines of the keys that unlike ones share, but for keys of two lines whose numbers of words rule a link out."""
+    keyed = whole.select(F.explode("keys").alias("bucket"), F.col("h").alias("node"), "n").withColumn("bucket", F.col("bucket").bitwiseAND(F.lit(KEY_BITS)))
+    of = {"c": F.count(F.lit(1)), "lo": F.min("node"), "hi": F.max("node"), "n0": F.min("n"), "n1": F.max("n")}
+    sized = keyed.groupBy("bucket").agg(*[v.alias(k) for k, v in of.items()]).where(f"lo != hi and (c > 2 or n0 >= {SIMILAR} * n1 - 1e-9)").select("bucket")
+    sized = cut(sized, "line-sized")
+    freed(whole.sparkSession)
+    members = cut(likely(keyed.select("bucket", "node"), sized, "bucket").join(sized, "bucket").distinct(), "line-members")
+    freed(whole.sparkSession)
+    return members
+
+
 def _once(whole: DataFrame, members: DataFrame) -> DataFrame:
-    """(h, n, line) of the members' lines. Of a line's occurrences the one of the least hash is read, so that a common line's don't meet."""
+    """(h, n, line) of the members' lines and few others. Of a line's occurrences the one of the least hash is read, so that a common line's don't meet."""
     mark = F.xxhash64("doc_id", "line_no")
-    one = whole.groupBy("h").agg(F.min(mark).alias("mark")).join(members.select(F.col("node").alias("h")).distinct(), "h")
-    return whole.select("h", "n", "line", mark.alias("mark")).join(one, ["h", "mark"]).select("h", "n", "line").dropDuplicates(["h"])  # rows of a doc_id may be repeated
+    nodes = cut(members.select(F.col("node").alias("h")).distinct(), "line-nodes")
+    some = likely(whole.select("h", "n", "line", mark.alias("mark")), nodes, "h")
+    one = some.groupBy("h").agg(F.min("mark").alias("mark"))
+    return some.join(one, ["h", "mark"]).dropDuplicates(["h"]).select("h", "n", "line")  # rows of a doc_id may be repeated
+
+
+def _met(members: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
+    """(bucket, node, lo, hi, many, by_lo, by_hi) of members (bucket, node): the least and greatest node of a bucket, its number of nodes, and
+    whether this one may be linked to those. Buckets of two or three leave out the nodes that may not: they hold no other pair."""
+    rows = members.select("bucket", "node").join(sizes.withColumnRenamed("h", "node"), "node")
+    of = ("n", *PARITIES)
+    end = lambda x, pick, by: [pick("node").alias(x), *[by(c, "node").alias(c + x) for c in of]]
+    ends = rows.groupBy("bucket").agg(*end("lo", F.min, F.min_by), *end("hi", F.max, F.max_by), F.count(F.lit(1)).alias("many")).where("many > 1")
+    own = rows.select("bucket", "node", *[F.col(c).alias(c + "own") for c in of])
+    near = lambda x: F.expr(re.sub(r"\b([npqrs])([ab])\b", lambda m: m[1] + {"a": "own", "b": x}[m[2]], NEAR))
+    both = own.join(ends, "bucket").select("bucket", "node", "lo", "hi", "many", ((F.col("node") != F.col("lo")) & near("lo")).alias("by_lo"), (~F.col("node").isin(F.col("lo"), F.col("hi")) & near("hi")).alias("by_hi"))
+    return cut(both.where("by_lo or by_hi or many > 3"), label)
 
 
 def linked(whole: DataFrame) -> DataFrame:
     """(node, comp): the components of linked unlike lines, by their hashes, of lines() that are written."""
-    keyed = lambda df: df.select(F.explode("keys").alias("bucket"), F.col("h").alias("node"))
-    members = shared_members(keyed(whole), "line")
+    members = _shared(whole)
     texts = cut(_once(whole, members).select("h", "n", _read("line").alias("r")).select("h", "n", *[f"r.{x}" for x in PARITIES], "r.c"), "line-texts")
     freed(whole.sparkSession)
     sizes = texts.select("h", "n", *PARITIES)
-    side = lambda x, *of: texts.select(F.col("h").alias(x), *[F.col(c).alias(c + x) for c in of])
 
     def alike(pairs: DataFrame) -> DataFrame:
         near = cut(pairs, "line-near")
@@ -143,30 +176,30 @@ def linked(whole: DataFrame) -> DataFrame:
         far = _edits(F.greatest(F.length("ca"), F.length("cb")))
         return both.withColumn("far", far).where("levenshtein(ca, cb, far) >= 0").select("a", "b")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        return alike(pairs.join(side("a", "n", *PARITIES), "a").join(side("b", "n", *PARITIES), "b").where(NEAR).select("a", "b"))
+    def by_least(met: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+        return stars(met.where("by_lo").select("bucket", "node", "lo"), alike, label)
 
-    edges, comps = stars(members, verify, "line")
-    def by_greatest(members: DataFrame, comps: DataFrame) -> DataFrame:
+    def by_greatest(met: DataFrame, comps: DataFrame) -> DataFrame:
         """Links to the greatest of a key's lines where the least doesn't join them: alike lines that are left apart would meet in pairs."""
-        others = members.where("node != lo")  # the least was compared to all of them
-        last = others.groupBy("bucket").agg(F.max("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-        pairs = others.join(last, "bucket").select(F.col("node").alias("a"), "b").where("a != b").distinct()
-        return verify(with_components(pairs, comps).where("ca != cb").select("a", "b")).select("a", "b")
+        pairs = met.where("by_hi").select(F.col("node").alias("a"), F.col("hi").alias("b")).distinct()
+        return alike(with_components(pairs, comps).where("ca != cb").select("a", "b")).select("a", "b")
 
-    more = cut(by_greatest(members, comps), "line-greatest")
+    met = _met(members, sizes, "line-met")
+    freed(whole.sparkSession)
+    edges, comps = by_least(met, "line")
+    more = cut(by_greatest(met, comps), "line-greatest")
     if not more.isEmpty():
         edges = edges.union(more)
         comps = components(edges, "line-c")
-    rest = _rest(members, comps)
+    rest = _rest(met, comps)
     freed(whole.sparkSession)
     last = alike(_across(rest.where(f"many <= {HOT}"), sizes))
     hot = cut(rest.where(f"many > {HOT}").select(F.col("node").alias("h")).distinct(), "line-hot")
     again = None
     if not hot.isEmpty():
         chosen = cut(_rarest(texts.join(hot, "h")), "line-hot-keys")
-        again = shared_members(chosen, "line-hot")
-        links, joined = stars(again, verify, "line-hot")
+        again = _met(chosen, sizes, "line-hot-met")
+        links, joined = by_least(again, "line-hot")
         last = last.union(links).union(by_greatest(again, joined))
     for more in (lambda: last, lambda: alike(_across(_rest(again, comps), sizes))):
         found = cut(more().select("a", "b"), "line-last")

@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from terrasift.llm import decontaminate, language_id, language_model, line_dedup, mixing, quality_model, rules, toxicity
+from terrasift.llm import common, decontaminate, language_id, language_model, line_dedup, mixing, quality_model, rules, toxicity
 from tests.llm.test_words_and_minhash import SCHEMA, table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -459,3 +459,39 @@ def test_lines_that_met_are_not_paired_again(spark, monkeypatch):
         lost |= {len(texts) - 1} if size == 6 else set()
     assert {x.doc_id for x in line_dedup.dropped(table(spark, texts)).collect()} == lost
     assert rests and all(x["count"] > 3 for found in rests for x in found)
+
+
+def test_unlike_lines_of_a_key_make_no_pairs(spark, monkeypatch):
+    """Lines that share a run by chance leave where their bucket is read: pairs are joined to components and compared only if sizes and parities allow a link."""
+    pairs, real = {}, line_dedup.cut
+
+    def counted(df, label):
+        made = real(df, label)
+        if label in ("line-least", "line-near", "line-sized"):
+            pairs.setdefault(label, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "cut", counted)
+    monkeypatch.setattr(common, "cut", counted)
+    r = random.Random(15)
+    vocabulary, texts = letters(r, 20_000), []
+    own = lambda n: r.sample(vocabulary, n)
+    for size in (10, 40):  # alike in size, and not
+        for _ in range(30):
+            run = own(6)
+            texts += [" ".join(own(10) + run + own(10)), " ".join(own(size) + run + own(10))]
+    base = own(30)
+    texts += [" ".join(base), " ".join(edited_line(r, base, 2, vocabulary))]
+    assert {x.doc_id for x in line_dedup.dropped(table(spark, texts)).collect()} == {len(texts) - 1}
+    assert pairs["line-least"] == [1] and max(pairs["line-near"]) == 1
+    assert 0 < pairs["line-sized"][0] <= 30 * 3 + 30  # keys of the thirty pairs of like size and of the linked one
+
+
+def test_likely_rows_hold_all_that_match(spark):
+    """A bitmap leaves out no row whose hash is among the keys, negative ones and a bounded bitmap included, and few of the others."""
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("h"))
+    keys = rows.where("id % 10 = 3").select("h")
+    got = {x.id for x in common.likely(rows, keys, "h").collect()}
+    assert {x for x in range(20_000) if x % 10 == 3} <= got and len(got) < 2000 + 0.15 * 18_000
+    assert {x for x in range(20_000) if x % 10 == 3} <= {x.id for x in common.likely(rows, keys, "h", most=1 << 15).collect()}
+    assert common.likely(rows, keys.limit(0), "h").collect() == []

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.kernels import tile_clusters
+from ..functions.scalar import DEG_PLAIN
 from ..sources.scratch import written
 from .spatial import located, radius_join
 
@@ -87,6 +91,60 @@ def clustered(nodes: DataFrame, pairs: DataFrame, min_samples: int) -> DataFrame
     return out.select("id", F.coalesce("cluster", "near", F.lit(-1)).cast("long").alias("cluster"), F.col("cluster").isNotNull().alias("core"))
 
 
+#: Radii that a tile of boxed_clusters() is wide, and nodes in a row of its labels.
+TILE, ROW = 16, 4096
+#: What a tile knows of a node: it lies in this tile only, in others' margins too, within a radius of this tile, or is only a neighbour of such.
+HOME, SHARED, NEAR, OUTER = range(4)
+
+
+def boxed_clusters(nodes: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """(box, id, cluster): density clusters within each box of nodes (box, id, lat, lon, n), each of which stands for n points; cluster is the box's
+    least core id, a border node joins the least of its core neighbours' clusters, noise is left out. Metres are those at the box's mean latitude.
+
+    A box is cut into tiles, from its least coordinates; a tile gets the nodes within two radii, so it knows the core nodes within one, and
+    clusters them without making pairs. Components of tiles are one where a core node is in both: only such nodes are edges.
+    """
+    nodes = written(nodes, "nodes")
+    middle = nodes.groupBy("box").agg((F.sum(F.col("lat") * F.col("n")) / F.sum("n")).alias("_mid"), *[f(c).alias(f"_{c}{k}") for c in ("lat", "lon") for k, f in ((0, F.min), (1, F.max))])
+    across = DEG_PLAIN * F.cos(F.radians("_mid"))
+    middle = middle.select("box", "_mid", *[(F.col(f"_{c}{k}") * by).alias(f"_{v}{k}") for c, v, by in (("lat", "y", DEG_PLAIN), ("lon", "x", across)) for k in (0, 1)])
+    placed = nodes.join(middle, "box").select("*", (F.col("lon") * across).alias("x"), (F.col("lat") * DEG_PLAIN).alias("y"))
+    wide, reach, margin = TILE * eps, 1.001 * eps, 2.01 * eps
+    tile = lambda v, by=0.0: F.floor((F.col(v) - F.col(f"_{v}0") + by) / wide).cast("long")
+    spans = lambda v: F.sequence(F.greatest(tile(v, -margin), F.lit(0)), F.least(tile(v, margin), F.floor((F.col(f"_{v}1") - F.col(f"_{v}0")) / wide).cast("long")))
+    dealt = placed.withColumns({"_xs": spans("x"), "_ys": spans("y")}).withColumn("_alone", F.size("_xs") * F.size("_ys") == 1)
+    dealt = dealt.withColumn("tx", F.explode("_xs")).withColumn("ty", F.explode("_ys"))
+    own = (F.col("tx") == tile("x")) & (F.col("ty") == tile("y"))
+    within = lambda v: F.col(f"t{v}").between(tile(v, -reach), tile(v, reach))
+    part = F.when(own & F.col("_alone"), HOME).when(own, SHARED).when(within("x") & within("y"), NEAR).otherwise(OUTER)
+    dealt = dealt.select("box", "tx", "ty", "id", "x", "y", "n", part.alias("part"))
+
+    def run(table: pa.Table) -> pa.Table:
+        box, (ids, x, y, n, part) = table["box"][0], (table[c].to_numpy() for c in ("id", "x", "y", "n", "part"))
+        label, at, near = tile_clusters(ids, x, y, n, part < OUTER, eps, min_samples)
+        core, home = label >= 0, part <= SHARED
+        out = []
+        for kind, of, members in (("core", label[core & home], ids[core & home]), ("border", near[home[at]], ids[at[home[at]]]), ("shared", label[core & (part != HOME)], ids[core & (part != HOME)])):
+            order = np.lexsort((members, of))
+            of, members = of[order], members[order]
+            starts = np.flatnonzero(np.diff(of, prepend=of[:1] - 1))
+            for lo, hi in zip(starts, [*starts[1:], len(of)]):
+                out += [(kind, of[lo], members[k : min(k + ROW, hi)]) for k in range(lo, hi, ROW)]
+        lists = pa.LargeListArray.from_arrays(np.cumsum([0, *[len(m) for *_, m in out]]), np.concatenate([np.empty(0, np.int64), *[m for *_, m in out]])).cast(pa.list_(pa.int64()))
+        return pa.table({"box": pa.array([box.as_py()] * len(out), table.schema.field("box").type), "kind": pa.array([k for k, *_ in out], pa.string()), "label": pa.array([int(v) for _, v, _ in out], pa.int64()), "ids": lists})
+
+    box_type = nodes.schema["box"].dataType.simpleString()
+    pairs = written(dealt.groupBy("box", "tx", "ty").applyInArrow(run, f"box {box_type}, kind string, label long, ids array<long>"), "pairs")
+    each = lambda kind: pairs.where(F.col("kind") == kind).select("box", "label", F.explode("ids").alias("id"))
+    links = written(each("shared").where("label != id").select(F.struct("box", F.col("label").alias("id")).alias("a"), F.struct("box", "id").alias("b")), "links")
+    cores, border = each("core"), each("border")
+    if not links.isEmpty():
+        comps = connected_components(links).select("node.box", F.col("node.id").alias("label"), F.col("comp.id").alias("least"))
+        cores, border = (df.join(comps, ["box", "label"], "left").select("box", F.coalesce("least", "label").alias("label"), "id") for df in (cores, border))
+    return cores.select("box", "id", F.col("label").alias("cluster")).union(border.groupBy("box", "id").agg(F.min("label").alias("cluster")))
+
+
+
 def greedy_dedup(points: DataFrame, radius: float) -> DataFrame:
     """The points that a pass in the order of id keeps, each kept one dropping all later ones within radius.
 

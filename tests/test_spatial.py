@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +249,37 @@ def test_facilities_pair_places_of_a_box(spark, monkeypatch):
     assert made["pairs"] == 1 and made["nodes"] == 2
     assert [(r.facility_id, r.parent_candidate_id, r.n_buildings, r.names, r.max_height_m, r.top_class) for r in got] == [(f"f_000000{k}", 4 + k, 60, ["n0", "n1", "n2"], 291.0, "hangar") for k in range(2)]
     assert all(abs(r.lat - 40.0005) < 1e-9 and r.lon == -90.0 for r in got)
+
+
+def test_facilities_make_no_pairs_of_different_places(spark, monkeypatch):
+    """c06: 300 different places within a radius are one row, not 44 850 pairs."""
+    from terrasift.operators import areas, graph
+
+    made = counting(monkeypatch, graph)
+    b = spark.range(300).selectExpr("id", "40.0D + id * 1e-6D lat", "-90.0D lon", "10.0D approx_area_m2", "'warehouse' class", "'' subtype", "'n' name", "1.0D height", "1 num_floors")
+    c = spark.createDataFrame([(5, -90.0, 40.0, -90.2, 39.8, -89.8, 40.2)], "candidate_id long, lon double, lat double, lon_min double, lat_min double, lon_max double, lat_max double")
+    assert [r.n_buildings for r in areas.facilities(c, b, c.limit(0)).collect()] == [300]
+    assert made["pairs"] == 1 and made["nodes"] == 300
+
+
+@pytest.mark.parametrize("tile", [1, 3, 16])
+def test_boxed_clusters_equal_brute_force(spark, monkeypatch, tile):
+    """c06: boxes cut into tiles give the clusters of all pairs, border nodes among them."""
+    from terrasift.operators import graph
+
+    monkeypatch.setattr(graph, "TILE", tile)
+    rng, eps, least = np.random.default_rng(tile), 1000.0, 6
+    rows = [(k % 3, k // 3 * 7 % 1000, 40.0 + float(la), -90.0 + float(lo), int(n)) for k, (la, lo, n) in enumerate(zip(rng.random(900) * 0.12, rng.random(900) * 0.12, rng.integers(1, 4, 900)))]
+    got = {(r.box, r.id): r.cluster for r in graph.boxed_clusters(spark.createDataFrame(rows, "box long, id long, lat double, lon double, n long"), eps, least).collect()}
+    want = {}
+    for box in range(3):
+        _, ids, lat, lon, n = (np.array(v) for v in zip(*[r for r in rows if r[0] == box]))
+        x, y = lon * 111000.0 * np.cos(np.radians((lat * n).sum() / n.sum())), lat * 111000.0
+        near = np.hypot(x[:, None] - x, y[:, None] - y) <= eps
+        core = near @ n >= least
+        label = np.where(core, ids, 1 << 40)
+        for _ in range(len(ids)):
+            label = np.where(core, np.where(near & core, label, 1 << 40).min(axis=1), 1 << 40)
+        label = np.where(core, label, np.where(near & core, label, 1 << 40).min(axis=1))
+        want |= {(box, int(i)): int(v) for i, v in zip(ids, label) if v < 1 << 40}
+    assert got == want and len(set(want.items())) < 900 and len({(k[0], v) for k, v in want.items()}) > 5

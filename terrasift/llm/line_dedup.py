@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, freed, likely, small, stars, with_components
 
-SHORT, LONG, SIMILAR, KEYS, HOT = 3, 4, 0.8, 8, 256
+SHORT, LONG, SIMILAR, KEYS = 3, 4, 0.8, 8
+#: Either way every pair of a key is compared. Meeting by rarest words cost about 0.9 ms of CPU time a line, testing a pair in its bucket far less than
+#: a microsecond: keys of some hundred lines are cheaper in pairs, those of many more are not.
+HOT = 1 << 14
 #: Codes of words: characters whose numbers have five hexadecimal digits.
 FIRST_CODE, CODES = 0x10000, 0xF0000
 PARITIES = "pqrs"
@@ -50,39 +53,41 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _least(runs: Column, enough: Column, most: int) -> Column:
-    """The ``most`` least hashes of runs, ascending; none unless ``enough``."""
-    return F.when(enough, F.slice(F.sort_array(runs), 1, most)).otherwise(F.array().cast("array<long>"))
-
-
-def _keys(w: Column, most: int = KEYS) -> Column:
-    """The keys of a line of words w: its runs, of two lengths where lines of other lengths may be linked to it."""
-    n = F.size(w)
-    both = lambda a, b: F.xxhash64(a, b)
-    part = lambda x, at, size: F.slice(x, at, F.greatest(n - size + 1, F.lit(0)))
-
-    def keys(twos: Column) -> Column:
-        threes, fours = F.zip_with(part(twos, 1, SHORT), part(w, 3, SHORT), both), F.zip_with(part(twos, 1, LONG), part(twos, 3, LONG), both)
-        return F.concat(_least(twos, (n > 3) & (n < 6), most), _least(threes, (n > 3) & (n < 15), most), _least(fours, n > 9, most))
-
-    return _let(F.zip_with(part(w, 1, 2), part(w, 2, 2), both), keys)
+def _least(runs: str, enough: Column) -> Column:
+    """The KEYS least hashes of runs, ascending; none unless ``enough``."""
+    return F.when(enough, F.slice(F.sort_array(runs), 1, KEYS)).otherwise(F.array().cast("array<long>"))
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, h, n, keys) of the lines with a word: normalised, its hash, words and keys."""
-    each = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(normalised()).alias("line_no", "line")).select("doc_id", "line_no", F.trim("line").alias("line")).where("line != ''")
-    words = F.transform(F.split("line", " "), lambda x: F.hash(x))
-    read = each.select("*", _let(words, lambda w: F.struct(F.size(w).alias("n"), _keys(w).alias("keys"))).alias("r"))
-    return read.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h"), "r.n", "r.keys")
+    """(doc_id, line_no, line, h, n, keys) of the lines with a word: normalised, its hash, words and keys.
 
-
-def _read(line: str) -> Column:
-    """(p, q, r, s, c): parities of the line's words, 256 bits, and the line with one character for each word."""
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    Keys are the line's runs, of two lengths where lines of other lengths may be linked to it. Each step is a projection: within a lambda Spark
+    interprets and sorts boxed values, here arrays of longs.
+    """
+    each = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(normalised()).alias("line_no", "line")).select("doc_id", "line_no", F.trim("line").alias("line")).where("line != ''")
+    n = F.col("n")
+    part = lambda x, at, size: F.slice(x, at, F.greatest(n - size + 1, F.lit(0)))
+    pairs = lambda x, ahead, size: F.zip_with(part(x, 1, size), part(x, 1 + ahead, size), lambda a, b: F.xxhash64(a, b))
+    none = F.array().cast("array<long>")
+    words = each.withColumn("w", F.transform(F.split("line", " "), lambda x: F.hash(x))).withColumn("n", F.size("w"))
+    runs = words.withColumn("twos", pairs("w", 1, 2))
+    runs = runs.withColumns({"threes": F.when((n > 3) & (n < 15), F.zip_with(part("twos", 1, SHORT), part("w", 3, SHORT), lambda a, b: F.xxhash64(a, b))).otherwise(none), "fours": F.when(n > 9, pairs("twos", 2, LONG)).otherwise(none)})
+    keys = F.concat(_least("twos", (n > 3) & (n < 6)), _least("threes", (n > 3) & (n < 15)), _least("fours", n > 9))
+    return runs.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h"), "n", keys.alias("keys"))
+
+
+def _parities(line: str) -> Column:
+    """(p, q, r, s): parities of the line's words, 256 bits."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x)  # noqa: E731  # by the six last bits of x
     half = lambda w, k: F.filter(w, lambda x: x.bitwiseAND(F.lit(192)) == 64 * k)
     parity = lambda w, k: F.aggregate(half(w, k), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
-    code = lambda w: F.decode(F.unhex(F.concat(F.lit("000"), F.array_join(F.transform(w, lambda x: F.hex(F.pmod(x, F.lit(CODES)) + FIRST_CODE)), "000"))), "UTF-32")
-    return _let(F.transform(F.split(line, " "), lambda x: F.xxhash64(x)), lambda w: F.struct(*[parity(w, k).alias(name) for k, name in enumerate(PARITIES)], code(w).alias("c")))
+    return _let(F.transform(F.split(line, " "), lambda x: F.hash(x)), lambda w: F.struct(*[parity(w, k).alias(name) for k, name in enumerate(PARITIES)]))
+
+
+def _code(line: str) -> Column:
+    """The line with one character for each word."""
+    codes = F.transform(F.split(line, " "), lambda x: F.hex(F.pmod(F.xxhash64(x), F.lit(CODES)) + FIRST_CODE))
+    return F.decode(F.unhex(F.concat(F.lit("000"), F.array_join(codes, "000"))), "UTF-32")
 
 
 def _edits(n: Column) -> Column:
@@ -164,14 +169,14 @@ def _met(members: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
 def linked(whole: DataFrame) -> DataFrame:
     """(node, comp): the components of linked unlike lines, by their hashes, of lines() that are written."""
     members = _shared(whole)
-    texts = cut(_once(whole, members).select("h", "n", _read("line").alias("r")).select("h", "n", *[f"r.{x}" for x in PARITIES], "r.c"), "line-texts")
+    texts = cut(_once(whole, members).select("h", "n", "line", _parities("line").alias("r")).select("h", "n", *[f"r.{x}" for x in PARITIES], "line"), "line-texts")
     freed(whole.sparkSession)
     sizes = texts.select("h", "n", *PARITIES)
 
     def alike(pairs: DataFrame) -> DataFrame:
         near = cut(pairs, "line-near")
         ids = near.select(F.col("a").alias("h")).union(near.select("b")).distinct()
-        coded = cut(texts.select("h", "c").join(small(ids), "h"), "line-coded")  # the whole table isn't dealt anew for a few
+        coded = cut(texts.select("h", "line").join(small(ids), "h").select("h", _code("line").alias("c")), "line-coded")  # only lines of pairs are coded
         both = near.join(coded.select(F.col("h").alias("a"), F.col("c").alias("ca")), "a").join(coded.select(F.col("h").alias("b"), F.col("c").alias("cb")), "b")
         far = _edits(F.greatest(F.length("ca"), F.length("cb")))
         return both.withColumn("far", far).where("levenshtein(ca, cb, far) >= 0").select("a", "b")
@@ -197,7 +202,7 @@ def linked(whole: DataFrame) -> DataFrame:
     hot = cut(rest.where(f"many > {HOT}").select(F.col("node").alias("h")).distinct(), "line-hot")
     again = None
     if not hot.isEmpty():
-        chosen = cut(_rarest(texts.join(hot, "h")), "line-hot-keys")
+        chosen = cut(_rarest(texts.join(hot, "h").select("h", _code("line").alias("c"))), "line-hot-keys")
         again = _met(chosen, sizes, "line-hot-met")
         links, joined = by_least(again, "line-hot")
         last = last.union(links).union(by_greatest(again, joined))

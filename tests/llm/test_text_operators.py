@@ -461,6 +461,20 @@ def test_lines_that_met_are_not_paired_again(spark, monkeypatch):
     assert rests and all(x["count"] > 3 for found in rests for x in found)
 
 
+def test_keys_of_some_hundred_lines_are_compared_in_pairs(spark, monkeypatch):
+    """300 unlike lines around one run are compared in its bucket: dealing each by its words costs many times that. Only lines of pairs are coded."""
+    made, real = {}, line_dedup.cut
+    monkeypatch.setattr(line_dedup, "cut", lambda df, label: (out := real(df, label), made.setdefault(label, []).append(out.count()))[0])
+    r = random.Random(21)
+    vocabulary = letters(r, 20_000)
+    own = lambda n: r.sample(vocabulary, n)
+    run = own(6)
+    words = [own(10) + run + own(10) for _ in range(300)]
+    words += [edited_line(r, words[k], 2, vocabulary) for k in (7, 150)]
+    assert {x.doc_id for x in line_dedup.dropped(table(spark, [" ".join(w) for w in words])).collect()} == {300, 301}
+    assert "line-hot-words" not in made and made["line-texts"] == [302] and sum(made["line-coded"]) <= 8
+
+
 def test_unlike_lines_of_a_key_make_no_pairs(spark, monkeypatch):
     """Lines that share a run by chance leave where their bucket is read: pairs are joined to components and compared only if sizes and parities allow a link."""
     pairs, real = {}, line_dedup.cut
